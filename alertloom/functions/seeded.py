@@ -30,9 +30,11 @@ def digest(*keys: Column, seed: int | str | None = None) -> Column:
     return F.md5(text)
 
 
-def hash_int(*keys: Column, seed: int | str | None = None) -> Column:
-    """The first 32 bits of the digest as a non-negative BIGINT."""
-    head = F.substring(digest(*keys, seed=seed), 1, 8)
+def hash_int(
+    *keys: Column, seed: int | str | None = None, digits: int = 8
+) -> Column:
+    """Leading hex digits of the digest as a non-negative BIGINT; 15 at most."""
+    head = F.substring(digest(*keys, seed=seed), 1, digits)
     return F.conv(head, 16, 10).cast("bigint")
 
 

@@ -85,4 +85,5 @@ def dollars(value: Column) -> Column:
 
 def decimals(value: Column, places: int) -> Column:
     """Fixed decimals without separators; halves go to the even neighbour."""
-    return F.format_string(f"%.{places}f", F.bround(value, places))
+    shown = F.format_string(f"%.{places}f", F.bround(value, places))
+    return F.when(value.isNotNull(), shown)

@@ -45,5 +45,5 @@ def build(
     spread = corpus.spread(records, total, available, fields, seed)
     keyed = spread.withColumn(
         KEY, seeded.digest(*[F.col(c) for c in fields], F.col("copy"))
-    ).withColumn("sequence", seeded.hash_int(F.col(KEY), seed=f"{seed}-sequence"))
+    ).withColumn("sequence", seeded.hash_int(F.col(KEY), digits=15))
     return corpus.documents(keyed, [KEY], as_of, years, seed, sequence="sequence")

@@ -7,48 +7,68 @@ from pyspark.sql import types as T
 from alertloom.fixed import codes
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+TEXT = T.StringType()
+WHOLE = T.LongType()
 
 
-DRUG = (
-    "STRUCT<medicinalproduct: STRING, drugindication: STRING, drugdosagetext: STRING, "
-    "actiondrug: STRING, drugcharacterization: STRING, "
-    "openfda: STRUCT<brand_name: ARRAY<STRING>, manufacturer_name: ARRAY<STRING>>>"
+def record(**fields: T.DataType) -> T.StructType:
+    """A struct of nullable fields, usable before any session exists."""
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+def texts(names: str) -> dict[str, T.DataType]:
+    return dict.fromkeys(names.split(), TEXT)
+
+
+def many(kind: T.DataType) -> T.ArrayType:
+    return T.ArrayType(kind)
+
+
+DRUG = record(
+    **texts(
+        "medicinalproduct drugindication drugdosagetext actiondrug drugcharacterization"
+    ),
+    openfda=record(brand_name=many(TEXT), manufacturer_name=many(TEXT)),
 )
-REACTION = "STRUCT<reactionmeddrapt: STRING, reactionoutcome: STRING>"
-
-EVENT_REPORT = _struct(
-    "safetyreportid STRING, receivedate STRING, serious STRING, "
-    "seriousnessother STRING, reporttype STRING, fulfillexpeditecriteria STRING, "
-    "occurcountry STRING, companynumb STRING, "
-    "primarysource STRUCT<qualification: STRING>, "
-    "patient STRUCT<patientonsetage: STRING, patientsex: STRING, "
-    f"drug: ARRAY<{DRUG}>, reaction: ARRAY<{REACTION}>>"
+REACTION = record(**texts("reactionmeddrapt reactionoutcome"))
+EVENT_REPORT = record(
+    **texts(
+        "safetyreportid receivedate serious seriousnessother reporttype "
+        "fulfillexpeditecriteria occurcountry companynumb"
+    ),
+    primarysource=record(qualification=TEXT),
+    patient=record(
+        patientonsetage=TEXT,
+        patientsex=TEXT,
+        drug=many(DRUG),
+        reaction=many(REACTION),
+    ),
 )
 
-DEVICE_RECALL = _struct(
-    "recall_number STRING, product_description STRING, reason_for_recall STRING, "
-    "classification STRING, recalling_firm STRING, recall_initiation_date STRING, "
-    "root_cause_description STRING"
+DEVICE_RECALL = record(
+    **texts(
+        "recall_number product_description reason_for_recall classification "
+        "recalling_firm recall_initiation_date root_cause_description"
+    )
 )
 
-CLINICAL_TRIAL = _struct(
-    "protocolSection STRUCT<"
-    "identificationModule: STRUCT<nctId: STRING, briefTitle: STRING>, "
-    "statusModule: STRUCT<overallStatus: STRING>, "
-    "conditionsModule: STRUCT<conditions: ARRAY<STRING>>, "
-    "armsInterventionsModule: STRUCT<interventions: ARRAY<STRUCT<name: STRING>>>, "
-    "designModule: STRUCT<phases: ARRAY<STRING>, enrollmentInfo: STRUCT<count: BIGINT>>, "
-    "sponsorCollaboratorsModule: STRUCT<leadSponsor: STRUCT<name: STRING>>>"
+CLINICAL_TRIAL = record(
+    protocolSection=record(
+        identificationModule=record(**texts("nctId briefTitle")),
+        statusModule=record(overallStatus=TEXT),
+        conditionsModule=record(conditions=many(TEXT)),
+        armsInterventionsModule=record(interventions=many(record(name=TEXT))),
+        designModule=record(phases=many(TEXT), enrollmentInfo=record(count=WHOLE)),
+        sponsorCollaboratorsModule=record(leadSponsor=record(name=TEXT)),
+    )
 )
 
-DRUG_LABEL = _struct("setid STRING, drug_name STRING, category STRING")
+DRUG_LABEL = record(**texts("setid drug_name"))
 
 
-def envelope(member: str, record: T.StructType) -> T.StructType:
+def envelope(member: str, item: T.StructType) -> T.StructType:
     """Schema of a landed response: one array of records under ``member``."""
-    return T.StructType([T.StructField(member, T.ArrayType(record))])
+    return record(**{member: many(item)})
 
 
 # Flat adverse-event file: coded severity and age are numbers, the rest is text.
@@ -64,24 +84,18 @@ EVENT_FLAT = T.StructType(
     ]
 )
 
-RECALL_FLAT = _struct(
-    "WEB_ADDRESS STRING, RECALL_NUMBER STRING, PRODUCT_DESCRIPTION STRING, "
-    "TRADE_NAME STRING, RECALL_CLASS BIGINT, CENTER STRING, "
-    "CENTER_CLASSIFICATION_DT STRING, POSTED_INTERNET_DT STRING, "
-    "TERMINATION_DT STRING, FIRM_NAME STRING, MANUFACTURER_RECALL_REASON STRING"
+RECALL_FLAT = record(
+    **texts("WEB_ADDRESS RECALL_NUMBER PRODUCT_DESCRIPTION TRADE_NAME"),
+    RECALL_CLASS=WHOLE,
+    **texts(
+        "CENTER CENTER_CLASSIFICATION_DT POSTED_INTERNET_DT TERMINATION_DT FIRM_NAME "
+        "MANUFACTURER_RECALL_REASON"
+    ),
 )
 
 # A notice file has two columns and three blank headers; the blank ones are dropped.
-NOTICE = _struct(
-    "Date STRING, Title STRING, _blank1 STRING, _blank2 STRING, _blank3 STRING"
-)
-SAFETY_NOTICE = T.StructType(
-    [
-        T.StructField("Date", T.StringType()),
-        T.StructField("Safety Alert", T.StringType()),
-        T.StructField("Product Type", T.StringType()),
-    ]
-)
+NOTICE = record(**texts("Date Title _blank1 _blank2 _blank3"))
+SAFETY_NOTICE = record(**{"Date": TEXT, "Safety Alert": TEXT, "Product Type": TEXT})
 
 # Canonical record as written: text throughout except the count.
 RECORD = T.StructType(
@@ -96,15 +110,17 @@ RECORD_TEXT = T.StructType(
     [T.StructField(name, T.StringType()) for name in codes.RECORD_FIELDS]
 )
 
-MANIFEST = _struct(
-    "document_id STRING, document_name STRING, document_uri STRING, "
-    "document_type STRING, source_format STRING, upload_timestamp TIMESTAMP, "
-    "processing_status STRING, file_size_bytes BIGINT"
+MANIFEST = record(
+    **texts(
+        "document_id document_name document_uri document_type source_format"
+    ),
+    upload_timestamp=T.TimestampType(),
+    processing_status=TEXT,
+    file_size_bytes=WHOLE,
 )
 
-RESPONSE = _struct(
-    "candidates ARRAY<STRUCT<content: STRUCT<parts: ARRAY<STRUCT<text: STRING>>>, "
-    "finish_reason: STRING>>"
+RESPONSE = record(
+    candidates=many(
+        record(content=record(parts=many(record(text=TEXT))), finish_reason=TEXT)
+    )
 )
-
-SEEN_KEYS = _struct("source_url STRING")
