@@ -44,9 +44,11 @@ def flatten_adverse_events(reports: DataFrame) -> DataFrame:
         ),
         "drugindication": drug["drugindication"],
         "drugdosagetext": drug["drugdosagetext"],
-        "reactions": nested.joined(reactions, lambda r: r["reactionmeddrapt"]),
+        "reactions": nested.joined(reactions["reactionmeddrapt"]),
         "reaction_outcomes": nested.joined(
-            reactions, lambda r: codes.label(r["reactionoutcome"], "outcome")
+            F.transform(
+                reactions["reactionoutcome"], lambda code: codes.label(code, "outcome")
+            )
         ),
     }
     return reports.select(

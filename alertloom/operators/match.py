@@ -6,22 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PHRASE_WORDS = 3
+# From the start of every word: that word and up to two more.
+RUN = r"(?<!\S)(?=(\S+(?: \S+){0,2}))"
 
 
-def words(value: Column) -> Column:
-    """Lower-cased words; anything but letters and digits separates them."""
-    split = F.split(F.lower(value), r"[^\p{IsAlphabetic}\p{IsDigit}]+")
-    return F.filter(split, lambda w: w != "")
-
-
-def _shingles(tokens: Column, size: int) -> Column:
-    """All runs of ``size`` words; none if the text is shorter."""
-    last = F.size(tokens) - size + 1
-    starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(
-        F.array().cast("array<int>")
-    )
-    return F.transform(
-        starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(size)), " ")
+def plain_words(value: Column) -> Column:
+    """Lower-cased words with single spaces; other characters only separate them."""
+    return F.trim(
+        F.regexp_replace(F.lower(value), r"[^\p{IsAlphabetic}\p{IsDigit}]+", " ")
     )
 
 
@@ -34,42 +26,47 @@ def affected_documents(
 ) -> DataFrame:
     """Pairs of entity and document whose text holds the entity's words in a row.
 
-    An equi-join on phrases: a document gives each of its runs of up to three
-    words once, an entity its leading words. Longer entities are then checked
-    against the whole text, so every length is exact.
+    An equi-join on phrases of one to three words: every word of a document
+    starts three of them, an entity gives its leading words. Documents that hold
+    the beginning of a longer entity are then checked against the whole of it.
     """
-    wanted = (
+    named = (
         entities.select(entity)
         .distinct()
-        .withColumn("_words", words(F.col(entity)))
-        .filter(F.size("_words") > 0)
-        .select(
-            entity,
-            F.array_join(F.slice("_words", 1, PHRASE_WORDS), " ").alias("_phrase"),
-            F.when(
-                F.size("_words") > PHRASE_WORDS, F.array_join("_words", " ")
-            ).alias("_whole"),
-        )
+        .select(entity, plain_words(F.col(entity)).alias("_whole"))
+        .filter(F.col("_whole") != "")
     )
-    tokens = words(F.col(body))
-    phrases = F.array_distinct(
-        F.flatten(
-            F.array(*[_shingles(F.col("_tokens"), n) for n in range(1, PHRASE_WORDS + 1)])
-        )
+    wanted = named.select(
+        entity,
+        F.substring_index("_whole", " ", PHRASE_WORDS).alias("_phrase"),
+        "_whole",
     )
-    offered = (
-        documents.select(document_id, tokens.alias("_tokens"))
-        .withColumn(
-            "_text",
-            F.concat(F.lit(" "), F.array_join("_tokens", " "), F.lit(" ")),
-        )
-        .select(document_id, "_text", F.explode(phrases).alias("_phrase"))
+    run = F.col("_run")
+    starts = F.array(
+        *[F.substring_index(run, " ", n) for n in range(1, PHRASE_WORDS)], run
     )
-    held = F.contains("_text", F.concat(F.lit(" "), F.col("_whole"), F.lit(" ")))
-    return (
+    offered = documents.select(
+        document_id,
+        F.explode(
+            F.regexp_extract_all(plain_words(F.col(body)), F.lit(RUN), 1)
+        ).alias("_run"),
+    ).select(document_id, F.explode(starts).alias("_phrase"))
+    found = (
         offered.join(wanted, "_phrase")
-        .filter(F.col("_whole").isNull() | held)
+        .select(entity, document_id, (F.col("_phrase") == F.col("_whole")).alias("_done"), "_whole")
+        .distinct()
+    )
+    longer = found.filter(~F.col("_done")).join(
+        documents.select(document_id, body), document_id
+    )
+    held = F.contains(
+        F.concat(F.lit(" "), plain_words(F.col(body)), F.lit(" ")),
+        F.concat(F.lit(" "), F.col("_whole"), F.lit(" ")),
+    )
+    return (
+        found.filter("_done")
         .select(entity, document_id)
+        .unionByName(longer.filter(held).select(entity, document_id))
     )
 
 

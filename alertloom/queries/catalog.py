@@ -595,22 +595,20 @@ def _landed(spark: SparkSession, folder: str) -> harvest_plan.Landed:
 @query
 def harvest_records(spark, folder):
     """All four sources, capped per term, first per key, minus keys seen before."""
-    found = harvest_plan.candidates(_landed(spark, folder), AS_OF, SEED)
     seen = inputs.recalls(spark, folder).select(normalize.recall_url().alias("source_url"))
     seen = seen.filter(seeded.hash_int(F.col("source_url"), seed=SEED) % 2 == 0)
-    new = harvest_plan.new_records(found, seen)
+    new = harvest_plan.new_records(_landed(spark, folder), seen, AS_OF, SEED)
     return new.select("source", *harvest_plan.table_columns(new))
 
 
 @query
 def harvest_uncapped(spark, folder):
     """The same without caps: every matched record of every source."""
-    found = harvest_plan.candidates(
-        _landed(spark, folder), AS_OF, SEED, harvest_plan.Caps(None, None, None, None)
+    everything = harvest_plan.Caps(None, None, None, None)
+    new = harvest_plan.new_records(
+        _landed(spark, folder), None, AS_OF, SEED, everything
     )
-    order = [F.asc_nulls_last(c) for c in ("source_rank", *harvest_plan.POSITION)]
-    firsts = harvest.first_wins(found, order)
-    return firsts.select("source", *harvest_plan.table_columns(firsts))
+    return new.select("source", *harvest_plan.table_columns(new))
 
 
 # --- corpus ---------------------------------------------------------------------------------------------------
@@ -822,12 +820,12 @@ def stream_to_table(spark, folder):
 @query
 def affected_documents(spark, folder):
     """Opening words of benchmark passages, of two lengths, found in documents."""
-    tokens = match.words(F.col("text"))
+    opening = match.plain_words(F.col("text"))
     probes = table(spark, folder, "benchmark").select(
         F.explode(
             F.array(
-                F.array_join(F.slice(tokens, 1, 2), " "),
-                F.array_join(F.slice(tokens, 1, 6), " "),
+                F.substring_index(opening, " ", 2),
+                F.substring_index(opening, " ", 6),
             )
         ).alias("clinical_entity")
     )

@@ -9,10 +9,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents "
-    "embeddings pages benchmark labels conversations"
-).split()
+TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+    "c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, "
+    "p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, "
+    "o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, "
+    "l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, "
+    "l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+    "value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+    "benchmark": "item_id BIGINT, text STRING",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+}
 ABSENT = "absent_table"
 AS_OF = "2025-09-14"
 LOADED_AT = "2025-09-14 08:30:00"
@@ -20,7 +38,7 @@ SEED = 42
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _values(expressions: dict[str, str]) -> list[str]:
@@ -146,29 +164,35 @@ def _report_columns(received: str) -> dict[str, str]:
     }
 
 
+def _first_of(items: list[str], count: str) -> str:
+    """An array of the first few of the items."""
+    return f"slice(array({', '.join(items)}), 1, CAST({count} AS INT))"
+
+
 def reports(spark: SparkSession, folder: str) -> DataFrame:
     terms = ", ".join("NULL" if t is None else f"'{t}'" for t in REACTION_TERMS)
-    drugs = (
-        "transform(if(l_partkey % 3 > 0, sequence(1, CAST(l_partkey % 3 AS INT)), "
-        "CAST(array() AS array<int>)), i -> named_struct("
-        "'medicinalproduct', 'product-' || CAST(l_partkey + i AS STRING), "
-        "'drugindication', 'use-' || CAST(l_suppkey + i AS STRING), "
-        "'drugdosagetext', CAST(i AS STRING) || ' tablets', "
-        "'actiondrug', CAST((l_partkey + i) % 8 AS STRING), "
-        "'drugcharacterization', CAST((l_suppkey + i) % 5 AS STRING), "
-        "'openfda', named_struct("
-        "'brand_name', if(l_partkey % 4 = 0, CAST(array() AS array<string>), "
-        "array('brand-' || CAST(l_partkey AS STRING))), "
+    openfda = (
+        "named_struct('brand_name', if(l_partkey % 4 = 0, "
+        "CAST(array() AS array<string>), array('brand-' || CAST(l_partkey AS STRING))), "
         "'manufacturer_name', if(l_partkey % 5 = 0, NULL, "
-        "array('maker-' || CAST(l_suppkey AS STRING))))))"
-    )
-    reactions = (
-        "transform(if(l_linenumber > 1, sequence(1, l_linenumber - 1), "
-        "CAST(array() AS array<int>)), i -> named_struct("
-        f"'reactionmeddrapt', get(array({terms}), CAST((l_partkey + i) % 9 AS INT)), "
-        "'reactionoutcome', if((l_suppkey + i) % 8 = 7, NULL, "
-        "CAST((l_suppkey + i) % 8 AS STRING))))"
+        "array('maker-' || CAST(l_suppkey AS STRING))))"
     )
+    drugs = [
+        "named_struct("
+        f"'medicinalproduct', 'product-' || CAST(l_partkey + {i} AS STRING), "
+        f"'drugindication', 'use-' || CAST(l_suppkey + {i} AS STRING), "
+        f"'drugdosagetext', '{i} tablets', "
+        f"'actiondrug', CAST((l_partkey + {i}) % 8 AS STRING), "
+        f"'drugcharacterization', CAST((l_suppkey + {i}) % 5 AS STRING), "
+        f"'openfda', {openfda})"
+        for i in (1, 2)
+    ]
+    reactions = [
+        "named_struct("
+        f"'reactionmeddrapt', get(array({terms}), CAST((l_partkey + {i}) % 9 AS INT)), "
+        f"'reactionoutcome', nullif(CAST((l_suppkey + {i}) % 8 AS STRING), '7'))"
+        for i in range(1, 7)
+    ]
     columns = _report_columns("date_format(l_shipdate, 'yyyyMMdd')")
     return table(spark, folder, "lineitem").selectExpr(
         *_values(columns),
@@ -177,7 +201,8 @@ def reports(spark: SparkSession, folder: str) -> DataFrame:
         "'patientonsetage', if(l_partkey % 5 = 0, NULL, "
         "CAST(CAST(l_quantity AS BIGINT) AS STRING)), "
         "'patientsex', nullif(CAST(l_partkey % 4 AS STRING), '3'), "
-        f"'drug', {drugs}, 'reaction', {reactions}) AS patient",
+        f"'drug', {_first_of(drugs, 'l_partkey % 3')}, "
+        f"'reaction', {_first_of(reactions, 'l_linenumber - 1')}) AS patient",
     )
 
 
@@ -258,6 +283,10 @@ _TRIAL_COLUMNS = {
 
 def trials(spark: SparkSession, folder: str) -> DataFrame:
     flat = table(spark, folder, "orders").selectExpr(*_values(_TRIAL_COLUMNS))
+    agents = [
+        "named_struct('name', '" + ("" if i % 3 == 0 else f"agent-{i}") + "')"
+        for i in range(1, 6)
+    ]
     return flat.selectExpr(
         "source_pos",
         "named_struct("
@@ -265,10 +294,8 @@ def trials(spark: SparkSession, folder: str) -> DataFrame:
         "'statusModule', named_struct('overallStatus', status), "
         "'conditionsModule', named_struct('conditions', "
         "if(has_conditions, array(first_condition, second_condition), NULL)), "
-        "'armsInterventionsModule', named_struct('interventions', transform("
-        "if(drug_count > 0, sequence(1, drug_count), CAST(array() AS array<int>)), "
-        "i -> named_struct('name', CASE i % 3 WHEN 0 THEN '' ELSE "
-        "'agent-' || CAST(i AS STRING) END))), "
+        "'armsInterventionsModule', named_struct('interventions', "
+        f"{_first_of(agents, 'drug_count')}), "
         "'designModule', named_struct('phases', array('PHASE' || phase, 'EXTENSION'), "
         "'enrollmentInfo', named_struct('count', enrolled)), "
         "'sponsorCollaboratorsModule', named_struct('leadSponsor', "

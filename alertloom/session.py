@@ -55,7 +55,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage, in storage that outlives executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+    """Compute once, as a table in the shared folder, and read it back.
+
+    The lineage ends there, the storage outlives executors, and the size of the
+    table is known, so later joins can be planned by it.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
