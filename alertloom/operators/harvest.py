@@ -25,50 +25,58 @@ def first_terms(terms: Sequence[str], limit: int | None) -> list[str]:
     return list(terms if limit is None else terms[:limit])
 
 
-def match_terms(df: DataFrame, values: Column, terms: Sequence[str]) -> DataFrame:
+def match_terms(
+    df: DataFrame, values: Column, terms: Sequence[str], every: bool = True
+) -> DataFrame:
     """One row per record and search term among the record's values.
 
-    Case does not matter. The terms are a short list fixed by configuration, so
-    they are matched inside the row; a table of terms would be joined instead.
+    With ``every`` off, one row per matching record, for its first term. Case
+    does not matter. The terms are a short list fixed by configuration, so they
+    are matched inside the row; a table of terms would be joined instead.
     """
-    lowered = F.transform(values, lambda v: F.lower(v))
     wanted = _literals([t.lower() for t in terms])
-    hits = F.array_intersect(wanted, lowered)
-    out = df.withColumn(TERM, F.explode(hits))
+    hits = F.array_intersect(wanted, F.transform(values, lambda v: F.lower(v)))
+    if every:
+        out = df.withColumn(TERM, F.explode(hits))
+    else:
+        out = df.withColumn(TERM, F.get(hits, F.lit(0)))
+        out = out.filter(F.col(TERM).isNotNull())
     return out.withColumn(TERM_RANK, F.array_position(wanted, F.col(TERM)))
 
 
-def match_trials(trials: DataFrame, limit: int | None = fixed.TRIAL_TERM_LIMIT):
+def match_trials(
+    trials: DataFrame, limit: int | None = fixed.TRIAL_TERM_LIMIT, every: bool = True
+) -> DataFrame:
     """Trials in a wanted status whose conditions include a search condition."""
     section = F.col("protocolSection")
     wanted = trials.filter(
         section["statusModule"]["overallStatus"].isin(*fixed.TRIAL_STATUSES)
     )
     conditions = section["conditionsModule"]["conditions"]
-    return match_terms(
-        wanted, conditions, first_terms(fixed.TRIAL_CONDITIONS, limit)
-    )
+    terms = first_terms(fixed.TRIAL_CONDITIONS, limit)
+    return match_terms(wanted, conditions, terms, every)
 
 
-def match_events(reports: DataFrame, limit: int | None = fixed.EVENT_TERM_LIMIT):
+def match_events(
+    reports: DataFrame, limit: int | None = fixed.EVENT_TERM_LIMIT, every: bool = True
+) -> DataFrame:
     """Reports with a wanted reaction."""
-    return match_terms(
-        reports,
-        F.col("patient.reaction.reactionmeddrapt"),
-        first_terms(fixed.EVENT_REACTIONS, limit),
-    )
+    reactions = F.col("patient.reaction.reactionmeddrapt")
+    terms = first_terms(fixed.EVENT_REACTIONS, limit)
+    return match_terms(reports, reactions, terms, every)
 
 
-def match_recalls(recalls: DataFrame, limit: int | None = fixed.RECALL_TERM_LIMIT):
+def match_recalls(
+    recalls: DataFrame, limit: int | None = fixed.RECALL_TERM_LIMIT, every: bool = True
+) -> DataFrame:
     """Recalls with a wanted root cause."""
-    return match_terms(
-        recalls,
-        F.array("root_cause_description"),
-        first_terms(fixed.RECALL_CAUSES, limit),
-    )
+    terms = first_terms(fixed.RECALL_CAUSES, limit)
+    return match_terms(recalls, F.array("root_cause_description"), terms, every)
 
 
-def match_labels(labels: DataFrame, limit: int | None = fixed.LABEL_TERM_LIMIT):
+def match_labels(
+    labels: DataFrame, limit: int | None = fixed.LABEL_TERM_LIMIT, every: bool = True
+) -> DataFrame:
     """Labels of a wanted drug. The category is that of the drug's list."""
     listed = [
         (drug, category)
@@ -76,7 +84,7 @@ def match_labels(labels: DataFrame, limit: int | None = fixed.LABEL_TERM_LIMIT):
         for drug in first_terms(drugs, limit)
     ]
     matched = match_terms(
-        labels.drop("category"), F.array("drug_name"), [d for d, _ in listed]
+        labels.drop("category"), F.array("drug_name"), [d for d, _ in listed], every
     )
     categories = _literals([c for _, c in listed])
     return matched.withColumn(
