@@ -7,39 +7,45 @@ import json
 from collections.abc import Sequence
 
 
-class DigestBackend:
-    """Text, number or table answers; some are malformed so that fallbacks show."""
-
-    def __init__(self, kind: str) -> None:
-        self.kind = kind
-
-    def complete(self, prompts: Sequence[str], **options) -> list[str]:
-        return [self._answer(hashlib.md5(p.encode()).hexdigest()) for p in prompts]
-
-    def _answer(self, digest: str) -> str:
-        if digest[0] == "0":
-            return "no answer"
-        candidate = {"content": {"parts": [{"text": self._body(digest)}]}}
-        if digest[0] in "12345":
-            candidate["finish_reason"] = "MAX_TOKENS"
-        return json.dumps({"candidates": [candidate]})
-
-    def _body(self, digest: str) -> str:
-        if self.kind == "text":
-            return f"Answer {digest}"
-        number = int(digest[1:5], 16) % 1000
-        if self.kind == "number":
-            return "unclear" if digest[0] == "f" else str(number)
-        if digest[0] == "f":
-            return "[]"
-        rows = [
-            {"department": f"unit {digest[5]}", "priority": "HIGH",
-             "key_action": f"act on {digest}", "estimated_hours": number},
-            {"department": "Pharmacy", "priority": "URGENT",
-             "key_action": "review", "estimated_hours": 5},
-        ]
-        return json.dumps(rows)
-
-
 def backend_factory(kind: str):
-    return lambda: DigestBackend(kind)
+    """Text, number or table answers; some are malformed so that fallbacks show.
+
+    The class is local, so it travels to the tasks with the factory and the
+    package need not be installed there.
+    """
+
+    class DigestBackend:
+        def complete(self, prompts: Sequence[str], **options) -> list[str]:
+            return [self.answer(hashlib.md5(p.encode()).hexdigest()) for p in prompts]
+
+        def answer(self, digest: str) -> str:
+            if digest[0] == "0":
+                return "no answer"
+            candidate = {"content": {"parts": [{"text": self.body(digest)}]}}
+            if digest[0] in "12345":
+                candidate["finish_reason"] = "MAX_TOKENS"
+            return json.dumps({"candidates": [candidate]})
+
+        def body(self, digest: str) -> str:
+            if kind == "text":
+                return f"Answer {digest}"
+            number = int(digest[1:5], 16) % 1000
+            if kind == "number":
+                return "unclear" if digest[0] == "f" else str(number)
+            if digest[0] == "f":
+                return "[]"
+            first = {
+                "department": f"unit {digest[5]}",
+                "priority": "HIGH",
+                "key_action": f"act on {digest}",
+                "estimated_hours": number,
+            }
+            second = {
+                "department": "Pharmacy",
+                "priority": "URGENT",
+                "key_action": "review",
+                "estimated_hours": 5,
+            }
+            return json.dumps([first, second])
+
+    return DigestBackend
