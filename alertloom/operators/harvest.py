@@ -98,7 +98,8 @@ def cap_per_group(
     """The first ``cap`` rows of each group; all rows if there is no cap.
 
     Every task cuts its own part of a group to ``cap`` rows before the shuffle,
-    so one large group does not land in one task.
+    so one large group does not land in one task. Spark does so for caps up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold``, which is 1000.
     """
     if cap is None:
         return df

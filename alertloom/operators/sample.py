@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alertloom.functions import seeded
+from alertloom.operators import harvest
 from alertloom.operators.clean import quoted
 
-# Up to here a sample is taken as a top-n; each task keeps n rows and so does
-# the final task. Above, the cut is found from a histogram instead.
-TOP_N_LIMIT = 100_000
+# One task merges the best n rows of every other task. That is fine for a few
+# rows, is done in two steps up to a thousand, and by a histogram above.
+ONE_STEP_LIMIT = 64
+TWO_STEP_LIMIT = 1000
+MERGE_GROUPS = 256
 PREFIX_DIGITS = 4
 
 
@@ -36,16 +39,34 @@ def sample_exact(
     """
     hashed = df.withColumn("_hash", seeded.digest(*[quoted(k) for k in keys], seed=seed))
     order = [F.col("_hash"), *[quoted(c) for c in df.columns]]
-    if n <= TOP_N_LIMIT:
-        return hashed.orderBy(*order).limit(n).drop("_hash")
-    return _sample_by_histogram(hashed, n, order).drop("_hash")
+    if n <= ONE_STEP_LIMIT:
+        chosen = hashed.orderBy(*order).limit(n)
+    elif n <= TWO_STEP_LIMIT:
+        chosen = _top_in_two_steps(hashed, n, order)
+    else:
+        chosen = _sample_by_histogram(hashed, n, order)
+    return chosen.drop("_hash")
+
+
+def _top_in_two_steps(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
+    """The first n rows of each group of tasks, then the first n of those.
+
+    Which tasks form a group does not matter for the result.
+    """
+    grouped = df.withColumn("_group", F.spark_partition_id() % MERGE_GROUPS)
+    return (
+        harvest.cap_per_group(grouped, ["_group"], order, n)
+        .drop("_group")
+        .orderBy(*order)
+        .limit(n)
+    )
 
 
 def _sample_by_histogram(hashed: DataFrame, n: int, order: list[Column]) -> DataFrame:
-    """Take whole hash ranges below the cut, and a top-n within the one at the cut.
+    """Take whole hash ranges below the cut, and the first rows of the one at the cut.
 
     The histogram has a fixed number of buckets whatever the table's size, and
-    counts are combined before the shuffle.
+    counts are combined before the shuffle. It is computed at once.
     """
     bucket = F.substring("_hash", 1, PREFIX_DIGITS)
     counts = hashed.groupBy(bucket.alias("bucket")).count().orderBy("bucket")

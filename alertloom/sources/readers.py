@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,13 +18,27 @@ EVENT_FILES = "drug-event*.csv"
 NAME_STAMP = r"(\d{4}-\d{2}-\d{2}_\d{6})"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path or pattern matches anything, on whatever file system it names."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
+def _listed(spark: SparkSession, path: str) -> list:
+    """File statuses a path or pattern matches, on whatever file system it names."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = system.globStatus(target)
-    return found is not None and len(found) > 0
+    return list(system.globStatus(target) or [])
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return bool(_listed(spark, path))
+
+
+def newest_path(spark: SparkSession, pattern: str) -> str:
+    """The newest match: by the time in its name, then by its change time.
+
+    The choice is made from the listing; older files are not opened.
+    """
+    def age(status) -> tuple[str, int]:
+        stamp = re.search(NAME_STAMP, status.getPath().getName())
+        return (stamp.group(1) if stamp else "", status.getModificationTime())
+
+    return max(_listed(spark, pattern), key=age).getPath().toString()
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -65,25 +80,10 @@ def read_csv_by_name(
     return stacked
 
 
-def newest_only(df: DataFrame, by: str = "name") -> DataFrame:
-    """Rows of the newest file only, by the time in its name or its change time.
-
-    The newest file is a scalar; the rows are filtered by it, not sorted.
-    """
-    file_time = (
-        F.regexp_extract(F.col("_metadata.file_path"), NAME_STAMP, 1)
-        if by == "name"
-        else F.col("_metadata.file_modification_time")
-    )
-    tagged = df.select("*", file_time.alias("_file_time"))
-    newest = tagged.agg(F.max("_file_time")).scalar()
-    return tagged.filter(F.col("_file_time") == newest).drop("_file_time")
-
-
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
     """Canonical records of the newest file. Blank reads as null."""
-    files = f"{folder}/{RECORD_FILES}"
-    return newest_only(read_csv(spark, files, schemas.RECORD, multiline=True))
+    newest = newest_path(spark, f"{folder}/{RECORD_FILES}")
+    return read_csv(spark, newest, schemas.RECORD, multiline=True)
 
 
 def read_records_text(spark: SparkSession, folder: str) -> DataFrame:

@@ -17,8 +17,15 @@ def test_exact_size_and_order(spark):
     assert sample.sample_exact(spark.range(900), 1000, ["id"]).count() == 900
 
 
+def test_all_ways_give_the_same_rows(spark):
+    df = spark.range(5000).repartition(9)
+    for n in (5, 700, 1500):
+        got = [r.id for r in sample.sample_exact(df, n, ["id"], 3).collect()]
+        assert sorted(got) == sorted(ranked(range(5000), 3)[:n])
+
+
 def test_histogram_gives_the_same_rows(spark, monkeypatch):
-    monkeypatch.setattr(sample, "TOP_N_LIMIT", 10)
+    monkeypatch.setattr(sample, "TWO_STEP_LIMIT", 100)
     df = spark.range(3000)
     got = [r.id for r in sample.sample_exact(df, 777, ["id"], 7).collect()]
     assert sorted(got) == sorted(ranked(range(3000), 7)[:777])
