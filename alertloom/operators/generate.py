@@ -163,20 +163,28 @@ def responses(
 
 
 def _ask(
-    df: DataFrame, prompt: Column, make_backend: Callable[[], Backend], **settings
+    df: DataFrame,
+    prompt: Column,
+    make_backend: Callable[[], Backend],
+    read: Callable[[Column], dict[str, Column]],
+    **settings,
 ) -> DataFrame:
-    """Attach raw answers. Rows meet answers on the prompt's 256-bit hash."""
+    """Attach what ``read`` takes from the parsed answers.
+
+    Answers are read before they meet the rows, so each is parsed once however
+    many rows share its prompt. They meet on the prompt's 256-bit hash.
+    """
     prompted = df.withColumn(PROMPT, prompt)
-    answers = responses(prompted, make_backend, **settings).select(
-        F.sha2(PROMPT, 256).alias("_key"), RESPONSE
+    parsed = responses(prompted, make_backend, **settings).select(
+        F.sha2(PROMPT, 256).alias("_key"),
+        F.from_json(RESPONSE, schemas.RESPONSE).alias("_parsed"),
     )
-    keyed = prompted.withColumn("_key", F.sha2(PROMPT, 256))
-    return keyed.join(answers, "_key", "left").drop("_key")
+    fields = [c.alias(n) for n, c in read(F.col("_parsed")).items()]
+    keyed = prompted.withColumn("_key", F.sha2(PROMPT, 256)).drop(PROMPT)
+    return keyed.join(parsed.select("_key", *fields), "_key", "left").drop("_key")
 
 
-def unpack_response(response: Column) -> dict[str, Column]:
-    """Text, finish reason and truncation flag of a raw answer; bad JSON gives null."""
-    parsed = F.from_json(response, schemas.RESPONSE)
+def _answer_fields(parsed: Column) -> dict[str, Column]:
     candidate = F.get(parsed["candidates"], F.lit(0))
     answer = F.get(candidate["content"]["parts"], F.lit(0))["text"]
     reason = F.when(
@@ -189,6 +197,11 @@ def unpack_response(response: Column) -> dict[str, Column]:
     }
 
 
+def unpack_response(response: Column) -> dict[str, Column]:
+    """Text, finish reason and truncation flag of a raw answer; bad JSON gives null."""
+    return _answer_fields(F.from_json(response, schemas.RESPONSE))
+
+
 def generate_text(
     df: DataFrame,
     prompt: Column,
@@ -198,15 +211,13 @@ def generate_text(
     **settings,
 ) -> DataFrame:
     """Generated text per row; the fallback where the answer cannot be read."""
-    asked = _ask(df, prompt, make_backend, **settings)
-    parts = unpack_response(F.col(RESPONSE))
+    asked = _ask(df, prompt, make_backend, _answer_fields, **settings)
     return asked.withColumns(
         {
-            output: F.coalesce(parts["generated_text"], fallback),
-            "finish_reason": parts["finish_reason"],
-            "is_truncated": parts["is_truncated"],
+            output: F.coalesce("generated_text", fallback),
+            "is_truncated": F.coalesce("is_truncated", F.lit(False)),
         }
-    ).drop(PROMPT, RESPONSE)
+    ).drop("generated_text")
 
 
 def number_or(value: Column, fallback: Column) -> Column:
@@ -225,9 +236,12 @@ def generate_double(
     **settings,
 ) -> DataFrame:
     """One generated number per row."""
-    asked = _ask(df, prompt, make_backend, **settings)
-    answer = F.trim(unpack_response(F.col(RESPONSE))["generated_text"])
-    return asked.withColumn(output, number_or(answer, fallback)).drop(PROMPT, RESPONSE)
+
+    def read(parsed: Column) -> dict[str, Column]:
+        return {"_number": F.trim(_answer_fields(parsed)["generated_text"])}
+
+    asked = _ask(df, prompt, make_backend, read, **settings)
+    return asked.withColumn(output, number_or(F.col("_number"), fallback)).drop("_number")
 
 
 def spark_schema(output_schema: str) -> str:
@@ -250,14 +264,16 @@ def generate_table(
     **settings,
 ) -> DataFrame:
     """A generated table per row, as an array of structs of the wanted schema."""
-    asked = _ask(df, prompt, make_backend, **settings)
-    row = T.StructType.fromDDL(spark_schema(output_schema))
-    answer = unpack_response(F.col(RESPONSE))["generated_text"]
-    table = F.from_json(answer, T.ArrayType(row))
+    rows = T.ArrayType(T.StructType.fromDDL(spark_schema(output_schema)))
+
+    def read(parsed: Column) -> dict[str, Column]:
+        return {"_table": F.from_json(_answer_fields(parsed)["generated_text"], rows)}
+
+    asked = _ask(df, prompt, make_backend, read, **settings)
+    table = F.col("_table")
     if fallback is not None:
-        usable = F.size(table) > 0
-        table = F.when(usable, table).otherwise(fallback.cast(T.ArrayType(row)))
-    return asked.withColumn(output, table).drop(PROMPT, RESPONSE)
+        table = F.when(F.size(table) > 0, table).otherwise(fallback.cast(rows))
+    return asked.withColumn(output, table).drop("_table")
 
 
 # --- the analysis of every scenario -----------------------------------------------------------
