@@ -83,6 +83,27 @@ def text_columns(df: DataFrame, null_text: str | None = None) -> DataFrame:
     return df.select(*chosen)
 
 
+def lookup_table(
+    df: DataFrame,
+    code: str,
+    mapping: DataFrame,
+    key: str,
+    value: str,
+    output: str,
+    default: str = codes.UNKNOWN,
+) -> DataFrame:
+    """Label codes from a mapping table; what it lacks gets the default.
+
+    A key listed twice has its greatest value, so no row is repeated.
+    """
+    pairs = mapping.groupBy(quoted(key).alias("_code")).agg(
+        F.max(quoted(value)).alias("_label")
+    )
+    joined = df.join(pairs, quoted(code) == F.col("_code"), "left")
+    labelled = joined.withColumn(output, F.coalesce("_label", F.lit(default)))
+    return labelled.drop("_code", "_label")
+
+
 def document_manifest(
     files: DataFrame,
     base_uri: str,

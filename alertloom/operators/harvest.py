@@ -44,6 +44,19 @@ def match_terms(
     return out.withColumn(TERM_RANK, F.array_position(wanted, F.col(TERM)))
 
 
+def match_term_table(df: DataFrame, values: Column, terms: DataFrame) -> DataFrame:
+    """The same for a table of ``term`` and ``term_rank``, of any size.
+
+    A term listed twice counts once, with its lowest rank. Spark broadcasts the
+    terms when their size allows it.
+    """
+    ranked = terms.groupBy(F.lower(TERM).alias(TERM)).agg(
+        F.min(TERM_RANK).alias(TERM_RANK)
+    )
+    lowered = F.array_distinct(F.transform(values, lambda v: F.lower(v)))
+    return df.withColumn(TERM, F.explode(lowered)).join(ranked, TERM)
+
+
 def match_trials(
     trials: DataFrame, limit: int | None = fixed.TRIAL_TERM_LIMIT, every: bool = True
 ) -> DataFrame:

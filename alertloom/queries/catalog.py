@@ -347,6 +347,16 @@ def code_labels(spark, folder):
     )
 
 
+@query
+def lookup_join(spark, folder):
+    """Codes labelled from a table that lacks some of them."""
+    lines = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", (F.col("l_suppkey") % 30).alias("code")
+    )
+    nations = table(spark, folder, "nation")
+    return clean.lookup_table(lines, "code", nations, "n_nationkey", "n_name", "label")
+
+
 @query
 def flag_labels(spark, folder):
     reports = inputs.reports(spark, folder)
@@ -500,6 +510,22 @@ def terms_labels(spark, folder):
     return _terms(matched, "source_pos", "category")
 
 
+@query
+def terms_table(spark, folder):
+    """Words of part names that a table of terms lists, some of them repeatedly."""
+    words = F.array(*[F.lit(w) for w in inputs.TERM_WORDS])
+    terms = table(spark, folder, "supplier").select(
+        F.get(words, (F.col("s_suppkey") % len(inputs.TERM_WORDS)).cast("int")).alias(
+            "term"
+        ),
+        F.col("s_suppkey").alias("term_rank"),
+    )
+    matched = harvest.match_term_table(
+        table(spark, folder, "part"), F.split("p_name", " "), terms
+    )
+    return _terms(matched, "p_partkey")
+
+
 @query
 def keyed_only(spark, folder):
     labels = inputs.labels(spark, folder)

@@ -128,6 +128,7 @@ def feed(spark: SparkSession, folder: str) -> DataFrame:
 
 FEED_SQL = _select(_feed_columns(DUCK_K), "events")
 SEEN_BELOW = 20
+TERM_WORDS = ("Ring", "gizmo", "RED", "absent", "bolt")
 
 # --- line items as adverse-event reports --------------------------------------------
 

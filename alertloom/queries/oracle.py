@@ -314,6 +314,12 @@ oracle(
     + ", ".join(f"{label(CODE, m)} AS {n}" for n, m in codes.CODE_MAPS.items())
     + ", 'Unknown' AS no_such_map FROM lineitem",
 )
+oracle(
+    "lookup_join",
+    "SELECT l_orderkey, l_linenumber, l_suppkey, l_suppkey % 30 AS code, "
+    "coalesce(n_name, 'Unknown') AS label FROM lineitem LEFT JOIN nation "
+    "ON n_nationkey = l_suppkey % 30",
+)
 REP = f"WITH rep AS ({inputs.REPORTS_SQL})"
 YES_NO = "CASE WHEN fulfillexpeditecriteria = '1' THEN 'Yes' ELSE 'No' END"
 SEX = "CASE WHEN sex = '1' THEN 'Male' WHEN sex = '2' THEN 'Female' ELSE 'Unknown' END"
@@ -640,6 +646,13 @@ oracle(
     "terms_labels",
     f"{LAB}, m AS ({MATCHED_LABELS}) SELECT source_pos, category, term, {RANK} FROM m",
 )
+oracle(
+    "terms_table",
+    f"WITH t AS (SELECT lower(([{', '.join(lit(w) for w in inputs.TERM_WORDS)}])"
+    f"[1 + s_suppkey % {len(inputs.TERM_WORDS)}]) AS term, min(s_suppkey) AS term_rank "
+    "FROM supplier GROUP BY 1) SELECT p_partkey, term, term_rank FROM part, t "
+    "WHERE list_contains(string_split(lower(p_name), ' '), term)",
+)
 oracle("keyed_only", f"{LAB} SELECT source_pos, setid FROM lab WHERE {filled('setid')}")
 FEED = f"WITH feed AS ({inputs.FEED_SQL})"
 SEEN = f"SELECT DISTINCT source_url FROM feed WHERE k < {inputs.SEEN_BELOW}"
