@@ -13,6 +13,7 @@ from alertloom.functions import dates, seeded, text
 from alertloom.operators import sample
 
 TEMPLATE = "template"
+COPIES_PER_ROW = 10_000
 
 
 def route(keys: Sequence[Column], seed: int | str = 42) -> Column:
@@ -234,14 +235,26 @@ def spread(
     whole, rest = divmod(total, available)
     parts = []
     if whole:
-        copies = F.explode(F.sequence(F.lit(0), F.lit(whole - 1)))
-        parts.append(records.withColumn("copy", copies))
+        parts.append(_copies(records, whole))
     if rest:
         extra = sample.sample_exact(records, rest, keys, seed)
         parts.append(extra.withColumn("copy", F.lit(whole)))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def _copies(records: DataFrame, times: int) -> DataFrame:
+    """Every record ``times`` over. Many copies are split among tasks first."""
+    if times <= COPIES_PER_ROW:
+        return records.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(times - 1))))
+    chunks = -(-times // COPIES_PER_ROW)
+    split = records.withColumn(
+        "_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))
+    ).repartition("_chunk")
+    start = F.col("_chunk") * COPIES_PER_ROW
+    end = F.least(start + COPIES_PER_ROW, F.lit(times)) - 1
+    return split.withColumn("copy", F.explode(F.sequence(start, end))).drop("_chunk")
+
+
 def corpus_stats(docs: DataFrame) -> DataFrame:
     """Documents per template, images, and the grand total; zero counts stay listed.
 

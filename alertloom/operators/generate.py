@@ -141,11 +141,15 @@ def responses(
     prompts: DataFrame,
     make_backend: Callable[[], Backend],
     batch: int = BATCH,
+    tasks: int | None = None,
     once: bool = True,
     **options,
 ) -> DataFrame:
     """One row per distinct prompt with the backend's raw answer.
 
+    Prompts are few bytes but slow to answer, so they are dealt out to as many
+    tasks as there are cores, or as asked for, instead of by size.
+
     With ``once`` the answers are stored before use, so that neither a retry
     downstream nor a second use of the result asks the backend again.
     """
@@ -158,7 +162,8 @@ def responses(
         "max_output_tokens": fixed.MAX_OUTPUT_TOKENS,
         **options,
     }
-    answered = asked.mapInPandas(_answers(make_backend, chosen, batch), schema)
+    dealt = asked.repartition(tasks or asked.sparkSession.sparkContext.defaultParallelism)
+    answered = dealt.mapInPandas(_answers(make_backend, chosen, batch), schema)
     return settle(answered) if once else answered
 
 

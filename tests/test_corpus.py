@@ -67,6 +67,14 @@ def test_corpus_has_the_wanted_number_and_statistics(spark):
     assert row.file_name.endswith("." + row.format) and row.template in row.file_name
 
 
+def test_many_copies_are_split_and_complete(spark, monkeypatch):
+    monkeypatch.setattr(corpus, "COPIES_PER_ROW", 4)
+    rows = corpus.spread(spark.range(3), 3 * 11 + 1, 3, ["id"])
+    got = sorted(tuple(r) for r in rows.filter("copy < 11").collect())
+    assert got == [(i, c) for i in range(3) for c in range(11)]
+    assert rows.count() == 34
+
+
 def test_corpus_without_records_uses_the_samples(spark):
     empty = spark.createDataFrame([], schemas.RECORD_TEXT)
     assert plan.build(empty, 6, DAY).select("file_name").distinct().count() == 6
