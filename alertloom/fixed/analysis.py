@@ -1,6 +1,6 @@
 """Prompts, default answers and impact constants."""
 
-# --- fixed values: the scenario used when no record qualifies -------------------
+# --- fixed values: the scenario used when no record qualifies ----------------
 DEMO_SCENARIO = {
     "clinical_entity": "warfarin",
     "drug_name": "warfarin",
@@ -21,7 +21,7 @@ DEMO_SCENARIO = {
     "compliance_deadline": "2025-10-15",
 }
 
-# --- fixed values: default briefing ----------------------------------------------
+# --- fixed values: default briefing ------------------------------------------
 BRIEFING = """**Clinical Risk Summary**
 A new critical patient safety risk has been identified concerning {entity}. The latest guidance indicates a significant adverse event pattern that requires an immediate review of all related clinical protocols to mitigate potential harm.
 
@@ -35,7 +35,7 @@ The primary concern is the potential for severe, preventable adverse events if e
 Immediate action is required. A full review and update of all clinical documents, workflows, and staff training related to {entity} must be initiated within the next 24 hours to ensure compliance and protect patients.
 """
 
-# --- fixed values: prompts ---------------------------------------------------------
+# --- fixed values: prompts ---------------------------------------------------
 BRIEFING_PROMPT = """
     As a clinical risk analyst briefing a busy hospital executive, generate a concise and scannable risk assessment for the following update.
     
@@ -72,7 +72,7 @@ PLAN_PROMPT = """
     """
 NULL_TEXT = "None"
 
-# --- fixed values: generation options and answer fields ------------------------------
+# --- fixed values: generation options and answer fields ----------------------
 TEMPERATURE = 0.1
 MAX_OUTPUT_TOKENS = 2048
 FINISHED = "STOP"
@@ -81,7 +81,7 @@ PLAN_SCHEMA = (
     "department STRING, priority STRING, key_action STRING, estimated_hours INT64"
 )
 
-# --- fixed values: default cost by risk, and how a cost splits --------------------------
+# --- fixed values: default cost by risk, and how a cost splits ---------------
 COST_BY_RISK = {"Critical": 750000, "High": 350000}
 COST_OTHERWISE = 125000
 COST_SHARES = (
@@ -91,7 +91,7 @@ COST_SHARES = (
     ("Legal/Administrative", 5),
 )
 
-# --- fixed values: default action plan ----------------------------------------------------
+# --- fixed values: default action plan ---------------------------------------
 ACTION_PLAN = (
     ("ICU", "IMMEDIATE", "Update patient monitoring protocols immediately.", 8),
     ("Cardiology", "URGENT", "Revise dosing guidelines for at-risk patients.", 16),
@@ -106,7 +106,7 @@ ACTION_PLAN = (
 )
 HOURS_WITHOUT_PLAN = 48
 
-# --- fixed values: the manual process every alert is compared with ---------------------------
+# --- fixed values: the manual process every alert is compared with -----------
 MANUAL_HOURS = 960
 MANUAL_COST = 150000
 MANUAL_MONTHS = 6

@@ -70,7 +70,7 @@ REQUIRED_TABLES = (
     "fda_recalls",
 )
 
-# --- fixed values: flattened adverse-event columns, in file order -------------
+# --- fixed values: flattened adverse-event columns, in file order ------------
 EVENT_FIELDS = (
     "safetyreportid",
     "receivedate",
@@ -92,7 +92,7 @@ EVENT_FIELDS = (
     "reaction_outcomes",
 )
 
-# --- fixed values: canonical record fields, in file order ---------------------
+# --- fixed values: canonical record fields, in file order --------------------
 RECORD_FIELDS = (
     "drug_name",
     "device_name",

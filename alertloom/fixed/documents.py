@@ -4,7 +4,7 @@
 a field is null; a blank field stays blank.
 """
 
-# --- fixed values: template, title, file format, content type -------------------
+# --- fixed values: template, title, file format, content type ----------------
 TEMPLATES = {
     "medication_protocol": (
         "Medication Administration Protocol: {subject}", "pdf", "clinical_protocol",
@@ -34,20 +34,20 @@ IMAGE_TEMPLATE = "screenshot"
 IMAGE_FORMAT = "jpg"
 IMAGE_SHARE = 0.2
 
-# --- fixed values: routing choices -----------------------------------------------
+# --- fixed values: routing choices -------------------------------------------
 DEVICE_TEMPLATE = "device_manual"
 DRUG_TEMPLATES = ("medication_protocol", "formulary_entry", "training_memo")
 CONDITION_TEMPLATES = ("clinical_guideline", "nursing_protocol", "research_summary")
 OTHER_TEMPLATES = ("safety_alert", "training_memo")
 
-# --- fixed values: file names and ages ----------------------------------------------
+# --- fixed values: file names and ages ---------------------------------------
 FILE_NAME_CHARS = 15
 FILE_NAME_DEFAULT = "clinical"
 MIN_AGE_DAYS = 30
 DAYS_PER_YEAR = 365
 DOCUMENT_NUMBER = (1000, 9999)
 
-# --- fixed values: training memo -------------------------------------------------------
+# --- fixed values: training memo ---------------------------------------------
 MEMO_SUBJECT_DEFAULT = "Clinical Update"
 MEMO_AGE_DAYS = (90, 365)
 MEMO_DOSAGE_LINE = "• Current dosing guidelines: {old_dosage}\n"
@@ -108,7 +108,7 @@ Document ID: MED-{number}
 Revision Date: {revised}
 """
 
-# --- fixed values: safety alert ---------------------------------------------------------
+# --- fixed values: safety alert ----------------------------------------------
 ALERT_SUBJECT_DEFAULT = "Clinical Safety Issue"
 ALERT_AGE_DAYS = (30, 180)
 ALERT_RECALL_ISSUE = "DEVICE RECALL: {recall_reason}\n"
@@ -189,7 +189,7 @@ Distribution: All Clinical Staff
 This alert supersedes previous guidance dated {revised}
 """
 
-# --- fixed values: research summary -------------------------------------------------------
+# --- fixed values: research summary ------------------------------------------
 SUMMARY_SUBJECT_DEFAULT = "Clinical Research"
 SUMMARY_AGE_DAYS = (60, 300)
 SUMMARY_REVIEW_DAYS = 365

@@ -30,7 +30,7 @@ class Backend(Protocol):
     def complete(self, prompts: Sequence[str], **options) -> Sequence[str | None]: ...
 
 
-# --- prompts ---------------------------------------------------------------------
+# --- prompts -----------------------------------------------------------------
 
 
 def _shown(column: Column) -> Column:
@@ -69,7 +69,7 @@ def plan_prompt(briefing: Column, cost: Column) -> Column:
     )
 
 
-# --- default answers -----------------------------------------------------------------
+# --- default answers ---------------------------------------------------------
 
 
 def default_briefing() -> Column:
@@ -119,7 +119,7 @@ def plan_rows(df: DataFrame, keep: Sequence[str], plan: str = "plan") -> DataFra
     return df.select(*keep, F.inline(plan))
 
 
-# --- generation --------------------------------------------------------------------------
+# --- generation --------------------------------------------------------------
 
 
 def _answers(
@@ -281,7 +281,7 @@ def generate_table(
     return asked.withColumn(output, table).drop("_table")
 
 
-# --- the analysis of every scenario -----------------------------------------------------------
+# --- the analysis of every scenario ------------------------------------------
 
 
 def with_defaults(scenarios: DataFrame) -> DataFrame:

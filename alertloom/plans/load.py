@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from alertloom import schemas
-from alertloom.fixed.codes import RECORD_DATE_FIELDS
+from alertloom.fixed.codes import RECORD_DATE_FIELDS, REQUIRED_TABLES
 from alertloom.operators import clean, quality, sample
 from alertloom.sources import readers, sinks
 
@@ -74,6 +74,14 @@ def manifest(
     return clean.document_manifest(files, base_uri, loaded_at)
 
 
+def readiness(spark: SparkSession, target: str) -> DataFrame:
+    """Rows of each table the analysis needs; a table not loaded counts zero."""
+    tables = {
+        name: readers.read_table(spark, f"{target}/{name}") for name in REQUIRED_TABLES
+    }
+    return quality.table_counts(spark, tables)
+
+
 def run(
     spark: SparkSession,
     folder: str,

@@ -42,7 +42,7 @@ def query(function: Query) -> Query:
     return function
 
 
-# --- readiness -------------------------------------------------------------------------
+# --- readiness ---------------------------------------------------------------
 
 
 def _counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -60,7 +60,7 @@ def readiness_summary(spark, folder):
     return quality.readiness_summary(_counts(spark, folder))
 
 
-# --- scenarios ---------------------------------------------------------------------------
+# --- scenarios ---------------------------------------------------------------
 
 
 @query
@@ -110,7 +110,7 @@ def scenario_fallback(spark, folder):
     return scenario.select_scenario(none, ["scenario_id"], SEED)
 
 
-# --- answers and metrics -----------------------------------------------------------------------
+# --- answers and metrics -----------------------------------------------------
 
 
 def _critical(spark: SparkSession, folder: str) -> DataFrame:
@@ -233,7 +233,7 @@ def alert_analysis(spark, folder):
     )
 
 
-# --- cleaning --------------------------------------------------------------------------------------
+# --- cleaning ----------------------------------------------------------------
 
 
 @query
@@ -408,7 +408,7 @@ def row_id(spark, folder):
     return clean.add_row_id(lines, ROW_KEY)
 
 
-# --- reports and records ------------------------------------------------------------------------------
+# --- reports and records -----------------------------------------------------
 
 
 @query
@@ -481,7 +481,7 @@ def normalize_labels(spark, folder):
     return normalize.normalize_labels(keyed, AS_OF, SEED)
 
 
-# --- taking in --------------------------------------------------------------------------------------------
+# --- taking in ---------------------------------------------------------------
 
 
 def _terms(matched: DataFrame, *columns: str) -> DataFrame:
@@ -637,7 +637,7 @@ def harvest_uncapped(spark, folder):
     return new.select("source", *harvest_plan.table_columns(new))
 
 
-# --- corpus ---------------------------------------------------------------------------------------------------
+# --- corpus ------------------------------------------------------------------
 
 
 def _keys() -> list[Column]:
@@ -730,7 +730,7 @@ def corpus_fields(spark, folder):
     )
 
 
-# --- generation ---------------------------------------------------------------------------------------------------
+# --- generation --------------------------------------------------------------
 
 
 @query
@@ -805,7 +805,7 @@ def generate_table_batch(spark, folder):
     return generate.plan_rows(answered, ["scenario_id"])
 
 
-# --- streaming -----------------------------------------------------------------------------------------------------
+# --- streaming ---------------------------------------------------------------
 
 
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -840,7 +840,7 @@ def stream_to_table(spark, folder):
     return spark.read.parquet(paths["data"]).select("source_url", "event_id")
 
 
-# --- matching ---------------------------------------------------------------------------------------------------------
+# --- matching ----------------------------------------------------------------
 
 
 @query

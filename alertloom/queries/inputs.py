@@ -62,7 +62,7 @@ def _text(sql: str) -> str:
     return f"CAST({sql} AS VARCHAR(20))"
 
 
-# --- events as scenarios -----------------------------------------------------------
+# --- events as scenarios -----------------------------------------------------
 
 SPARK_K = "CAST(get_json_object(props, '$.k') AS BIGINT)"
 DUCK_K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
@@ -102,7 +102,7 @@ SCENARIOS_SQL = _select(
     _scenario_columns(DUCK_K, "strftime(CAST(ts AS DATE) + 30, '%Y-%m-%d')"), "events"
 )
 
-# --- events as a feed of five sources ----------------------------------------------
+# --- events as a feed of five sources ----------------------------------------
 
 SOURCES = ("purchase", "error", "view", "click", "signup")
 
@@ -130,7 +130,7 @@ FEED_SQL = _select(_feed_columns(DUCK_K), "events")
 SEEN_BELOW = 20
 TERM_WORDS = ("Ring", "gizmo", "RED", "absent", "bolt")
 
-# --- line items as adverse-event reports --------------------------------------------
+# --- line items as adverse-event reports -------------------------------------
 
 REACTION_TERMS = (
     "headache",
@@ -228,7 +228,7 @@ def _reports_sql() -> str:
 
 REPORTS_SQL = _reports_sql()
 
-# --- parts as device recalls ----------------------------------------------------------
+# --- parts as device recalls -------------------------------------------------
 
 _RECALL_COLUMNS = {
     "source_pos": "p_partkey",
@@ -252,7 +252,7 @@ def recalls(spark: SparkSession, folder: str) -> DataFrame:
 
 RECALLS_SQL = _select(_RECALL_COLUMNS, "part")
 
-# --- orders as clinical trials -----------------------------------------------------------
+# --- orders as clinical trials -----------------------------------------------
 
 _TRIAL_COLUMNS = {
     "source_pos": "o_orderkey",
@@ -306,7 +306,7 @@ def trials(spark: SparkSession, folder: str) -> DataFrame:
 
 TRIALS_SQL = _select(_TRIAL_COLUMNS, "orders")
 
-# --- customers as drug labels ---------------------------------------------------------------
+# --- customers as drug labels ------------------------------------------------
 
 LABEL_DRUGS = (
     "warfarin",
@@ -339,7 +339,7 @@ def labels(spark: SparkSession, folder: str) -> DataFrame:
 
 LABELS_SQL = _select(_LABEL_COLUMNS, "customer")
 
-# --- parts as canonical records for the corpus --------------------------------------------------
+# --- parts as canonical records for the corpus -------------------------------
 
 
 def _sometimes(word: str, shift: int) -> str:
@@ -389,7 +389,7 @@ def records(spark: SparkSession, folder: str) -> DataFrame:
 
 RECORDS_SQL = _select(_RECORD_COLUMNS, "part")
 
-# --- orders with date texts --------------------------------------------------------------------------
+# --- orders with date texts --------------------------------------------------
 
 
 def _date_texts(full: str, short: str) -> str:

@@ -15,7 +15,7 @@ from alertloom.queries.inputs import AS_OF, LOADED_AT, SEED
 
 ORACLE: dict[str, str] = {}
 
-# --- building blocks -----------------------------------------------------------------
+# --- building blocks ---------------------------------------------------------
 
 
 def lit(value: str | None) -> str:
@@ -93,7 +93,7 @@ COST = (
 )
 BRIEFING = fill(analysis.BRIEFING, {"entity": f"coalesce({ENTITY}, 'None')"})
 
-# --- readiness ---------------------------------------------------------------------------
+# --- readiness ---------------------------------------------------------------
 
 COUNTS = (
     " UNION ALL ".join(
@@ -110,7 +110,7 @@ oracle(
     "bool_and(row_count > 0) AS all_ready FROM c",
 )
 
-# --- scenarios ------------------------------------------------------------------------------
+# --- scenarios ---------------------------------------------------------------
 
 oracle(
     "scenario_entity",
@@ -157,7 +157,7 @@ oracle(
     ),
 )
 
-# --- answers and metrics ----------------------------------------------------------------------
+# --- answers and metrics -----------------------------------------------------
 
 oracle("briefing_default", f"{SCEN} SELECT scenario_id, {BRIEFING} AS briefing FROM scen")
 oracle(
@@ -245,7 +245,7 @@ oracle(
     f"WHERE risk_level = 'Critical' AND {ENTITY} IS NOT NULL",
 )
 
-# --- cleaning -----------------------------------------------------------------------------------
+# --- cleaning ----------------------------------------------------------------
 
 oracle(
     "parse_date_coerce",
@@ -351,7 +351,7 @@ oracle(
     f"SELECT {', '.join(ROW_KEY)}, {digest(*ROW_KEY)} AS id FROM l",
 )
 
-# --- reports ---------------------------------------------------------------------------------------
+# --- reports -----------------------------------------------------------------
 
 
 def drug_field(sql: str) -> str:
@@ -412,7 +412,7 @@ oracle(
     "FROM orders",
 )
 
-# --- canonical records -------------------------------------------------------------------------------
+# --- canonical records -------------------------------------------------------
 
 
 def canonical(
@@ -593,7 +593,7 @@ oracle(
     "normalize_labels", f"{LAB} {label_records('lab')} WHERE {filled('setid')}"
 )
 
-# --- taking in ----------------------------------------------------------------------------------------
+# --- taking in ---------------------------------------------------------------
 
 
 def ranked(terms: Sequence[str]) -> str:
@@ -748,7 +748,7 @@ oracle(
 )
 oracle("harvest_uncapped", f"{harvested(False)} {FOUND_FIRSTS}")
 
-# --- corpus ---------------------------------------------------------------------------------------------
+# --- corpus ------------------------------------------------------------------
 
 
 def pick_template(options: Sequence[str]) -> str:
@@ -885,7 +885,7 @@ oracle(
     "strpos(split_part(text, chr(10), 1), ':') + 1)) AS subject FROM t",
 )
 
-# --- generation -------------------------------------------------------------------------------------------
+# --- generation --------------------------------------------------------------
 
 
 def shown(column: str) -> str:
@@ -952,7 +952,7 @@ oracle(
     "WHERE a[1] NOT IN ('0', 'f')",
 )
 
-# --- streaming ---------------------------------------------------------------------------------------------
+# --- streaming ---------------------------------------------------------------
 
 STREAM_URL = "'https://records.invalid/' || user_id || '/' || props"
 oracle("stream_new_only", f"SELECT DISTINCT {STREAM_URL} AS source_url FROM events")
@@ -961,7 +961,7 @@ oracle(
     f"SELECT {STREAM_URL} AS source_url, min(event_id) AS event_id FROM events GROUP BY 1",
 )
 
-# --- matching -----------------------------------------------------------------------------------------------
+# --- matching ----------------------------------------------------------------
 
 WORDS = r"string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')), ' ')"
 oracle(

@@ -110,15 +110,6 @@ RECORD_TEXT = T.StructType(
     [T.StructField(name, T.StringType()) for name in codes.RECORD_FIELDS]
 )
 
-MANIFEST = record(
-    **texts(
-        "document_id document_name document_uri document_type source_format"
-    ),
-    upload_timestamp=T.TimestampType(),
-    processing_status=TEXT,
-    file_size_bytes=WHOLE,
-)
-
 RESPONSE = record(
     candidates=many(
         record(content=record(parts=many(record(text=TEXT))), finish_reason=TEXT)

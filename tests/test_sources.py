@@ -4,7 +4,7 @@ import json
 import pytest
 
 from alertloom import schemas
-from alertloom.operators import flatten
+from alertloom.operators import flatten, quality
 from alertloom.plans import load
 from alertloom.sources import readers, sinks
 
@@ -59,6 +59,10 @@ def test_full_load(spark, folder, tmp_path):
         "fda_public_statements": None,
         "knowledge_base_master": 1,
     }
+    counts = load.readiness(spark, target)
+    assert {r.table_name: r.row_count for r in counts.collect()}["fda_recalls"] == 0
+    ready = quality.readiness_summary(counts).first()
+    assert (ready.ready_tables, ready.required_tables, ready.all_ready) == (4, 6, False)
     truth = spark.read.parquet(f"{target}/ground_truth_master").first()
     assert truth.drug_name == "newest" and truth.update_date == dt.date(2025, 2, 3)
     assert truth.device_name is None and len(truth.id) == 32
