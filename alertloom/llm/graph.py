@@ -55,46 +55,42 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
 
-def shared_buckets(members: DataFrame, keys: list[str]) -> DataFrame:
-    """Members of the buckets that hold two or more, with the bucket's size as `members`."""
-    sizes = members.groupBy(*keys).agg(F.count("*").alias("members")).where("members > 1")
-    return members.join(sizes, keys)
+def shared_buckets(members: DataFrame) -> DataFrame:
+    """Members of the buckets that hold two or more, with the bucket's size as `members`.
+
+    Only such buckets are on the join's hashed side, and most hold one member: nothing is sorted.
+    """
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    return members.join(sizes.hint("shuffle_hash"), "bucket")
 
 
 def forest(
     members: DataFrame,
-    keys: list[str],
     near: Callable[[dict[str, list]], Callable[[int, np.ndarray], np.ndarray]],
     block: int = BLOCK,
 ) -> DataFrame:
     """Links (a, b) that connect the members of each bucket exactly as all near pairs would.
 
-    `members` holds the keys, a long `id`, and the columns that `near` reads. From a group's
-    columns `near` makes a function that, for one member and the positions still unreached,
-    gives those positions that are near it.
+    `members` holds a long `bucket`, a long `id`, and the columns that `near` reads. From a
+    group's columns `near` makes a function that, for one member and the positions still
+    unreached, gives those positions that are near it.
     A bucket is walked breadth first, so it yields fewer links than it has members, however
     many pairs are near. One of more than `block` members is dealt into blocks, and each
     pair of blocks is a group of its own: no task holds more than two blocks of a bucket.
     Groups are found in sorted rows, so that small ones cost little.
     """
-    payload = [c for c in members.columns if c not in keys]
-    shared = shared_buckets(members, keys)
-    blocks = F.ceil(F.col("members") / block).cast("int")
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    dealt = (
-        shared.withColumn("blocks", blocks)
-        .withColumn("own", own)
+    payload = [c for c in members.columns if c != "bucket"]
+    group = ["bucket", "low", "high"]
+    rows = (
+        shared_buckets(members)
+        .withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
+        .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .where("blocks = 1 OR own != other")
-        .select(
-            *keys,
-            F.least("own", "other").alias("low"),
-            F.greatest("own", "other").alias("high"),
-            *payload,
-        )
+        .select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), *payload)
+        .repartition(*group)
+        .sortWithinPartitions(*group)
     )
-    group = [*keys, "low", "high"]
-    rows = dealt.repartition(*group).sortWithinPartitions(*group)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, group):

@@ -3,8 +3,10 @@
 A document's fingerprint has a bit set where more than half of its shingles' hashes do.
 Fingerprints link when few bits differ. To find the links, a fingerprint is cut into
 segments; of two that link, some segment differs in at most distance // segments bits.
-Every fingerprint is entered under each segment's value and under the values of the Hamming
-ball around it, so that linked ones meet in a bucket, where complete distances are compared.
+Every fingerprint is entered under the values of a small Hamming ball around each segment, so
+that linked ones meet in a bucket, where complete distances are compared. Fewer, longer
+segments mean more entries but fewer chance meetings: two segments suit up to some 10 ** 9
+fingerprints.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from alertloom.session import settle
 WORDS = 4
 DISTANCE = 4
 SEED = 42
-SEGMENTS = 3
+SEGMENTS = 2
 EMPTY = 0
 
 
@@ -77,20 +79,13 @@ def _bounds(segments: int) -> list[tuple[int, int]]:
 
 
 def _ball(fp: Column, segment: int, low: int, high: int, radius: int) -> list[Column]:
-    """The segment's value, and those with up to `radius` of its unset bits set.
-
-    Of two values that differ in r bits, setting some bits in one and the others in the
-    other makes them equal, so going upwards only, from both, reaches a common value.
-    """
+    """A bucket for each value within `radius` bits of the segment's."""
     value = F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << (high - low)) - 1))
-    found = []
-    for size in range(radius + 1):
-        for bits in combinations(range(high - low), size):
-            mask = sum(1 << b for b in bits)
-            unset = value.bitwiseAND(F.lit(mask)) == 0
-            key = F.struct(F.lit(segment).alias("segment"), value.bitwiseOR(F.lit(mask)).alias("value"))
-            found.append(F.when(unset, key) if size else key)
-    return found
+    return [
+        F.xxhash64(F.lit(segment), value.bitwiseXOR(F.lit(sum(1 << b for b in bits)).cast("long")))
+        for size in range(radius + 1)
+        for bits in combinations(range(high - low), size)
+    ]
 
 
 def _within(distance: int):
@@ -108,17 +103,15 @@ def _within(distance: int):
 def links(prints: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS) -> DataFrame:
     """Links (a, b) between distinct fingerprints `fp`: all that their components need."""
     distinct = prints.select("fp").where("fp IS NOT NULL").distinct()
-    fp = F.col("fp")
-    keys = [
-        key
+    # Two values that differ in r bits have a value between them, r / 2 bits from either.
+    radius = -(-(distance // segments) // 2)
+    buckets = [
+        bucket
         for segment, (low, high) in enumerate(_bounds(segments))
-        for key in _ball(fp, segment, low, high, distance // segments)
+        for bucket in _ball(F.col("fp"), segment, low, high, radius)
     ]
-    members = (
-        distinct.select(fp.alias("id"), F.explode(F.array_compact(F.array(*keys))).alias("k"))
-        .select("k.segment", "k.value", "id")
-    )
-    return forest(members, ["segment", "value"], _within(distance))
+    members = distinct.select(F.explode(F.array(*buckets)).alias("bucket"), F.col("fp").alias("id"))
+    return forest(members, _within(distance))
 
 
 def _grouped(docs: DataFrame, words: int, distance: int, segments: int) -> DataFrame:

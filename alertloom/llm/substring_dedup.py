@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alertloom.llm.graph import components, forest
+from alertloom.llm.graph import components, forest, shared_buckets
 from alertloom.llm.rows import NAME, named
 from alertloom.llm.text import Buffer, buffers, combine, mix, signed
 from alertloom.session import settle
@@ -33,6 +33,7 @@ MIN_WORDS = 20
 PASSAGE_WORDS, PASSAGE_SPREAD = 20, 32
 LINE, PASSAGE = 0, 1
 SEED = 11
+TEXT_BLOCK = 500
 
 
 def _factors(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -75,7 +76,7 @@ def _line_bands(shingles: np.ndarray, first: np.ndarray, last: np.ndarray) -> np
     inside = np.concatenate([np.arange(f, e - SHINGLE + 1) for f, e in zip(first.tolist(), last.tolist())])
     offsets = np.concatenate([[0], np.cumsum(last - first - SHINGLE + 1)[:-1]])
     values = shingles[inside]
-    bands = np.zeros((len(first), BANDS), dtype=np.uint64)
+    bands = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(first), 1))  # tells the bands apart
     for k in range(BANDS * BAND_ROWS):
         least = np.minimum.reduceat(values * a[k] + b[k], offsets)
         bands[:, k // BAND_ROWS] = bands[:, k // BAND_ROWS] * np.uint64(0x100000001B3) + least
@@ -168,15 +169,8 @@ def shingle_set(text: str) -> set[tuple[str, ...]]:
 
 def near_links(docs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b) between `k1` of distinct lines; texts are fetched only for shared buckets."""
-    sizes = (
-        lines.select(F.posexplode("bands").alias("band", "value"))
-        .groupBy("band", "value")
-        .agg(F.count("*").alias("many"))
-        .where("many > 1")
-        .drop("many")
-    )
-    members = lines.select("k1", "row", F.posexplode("bands").alias("band", "value")).join(sizes, ["band", "value"])
-    members = settle(members, "band-members")
+    entries = lines.select("k1", "row", F.explode("bands").alias("bucket"))
+    members = settle(shared_buckets(entries).drop("members"), "band-members")
     wanted = members.select("k1", "row").distinct()
     wanted = wanted.groupBy(*[F.col(f"row.{c}").alias(c) for c in NAME]).agg(
         F.collect_list(F.struct("k1", "row.start", "row.end")).alias("wanted")
@@ -192,10 +186,10 @@ def near_links(docs: DataFrame, lines: DataFrame, similarity: float) -> DataFram
             F.col("all").substr(F.col("w.start") + 1, F.col("w.end") - F.col("w.start")).alias("text"),
         )
     )
-    rows = members.select("band", "value", F.col("k1").alias("id")).join(
+    rows = members.select("bucket", F.col("k1").alias("id")).join(
         settle(texts, "band-texts").withColumnRenamed("k1", "id"), "id"
     )
-    return forest(rows, ["band", "value"], _similar(similarity), 500)
+    return forest(rows, _similar(similarity), TEXT_BLOCK)
 
 
 def repeats(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS) -> DataFrame:
