@@ -84,7 +84,7 @@ def _line_bands(shingles: np.ndarray, first: np.ndarray, last: np.ndarray) -> np
 
 
 SCHEMA = (
-    "__id long, __null boolean, __hash long, kind tinyint, start int, end int, words int, "
+    "__id long, __null boolean, __hash long, kind tinyint, start int, end int, "
     "k1 long, k2 long, bands array<long>"
 )
 
@@ -126,7 +126,6 @@ def paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                         "kind": pa.array(np.repeat([LINE, PASSAGE], [len(first), len(starts)]), pa.int8()),
                         "start": pa.array(points[buffer.start[begin]] - base, pa.int32()),
                         "end": pa.array(points[buffer.end[stop - 1]] - base, pa.int32()),
-                        "words": pa.array(stop - begin, pa.int32()),
                         "k1": pa.array(whole[:, 0]),
                         "k2": pa.array(whole[:, 1]),
                         "bands": pa.ListArray.from_arrays(
@@ -202,25 +201,24 @@ def repeats(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MI
     """
     found = settle(paragraphs(docs, min_words), "paragraphs")
     row = F.struct("__null", "__id", "__hash", "start", "end")
-    name = F.struct(*[c for c in ("__null", "__id", "__hash")])
+    doc = F.xxhash64(*NAME)
     classes = found.groupBy("k1", "k2", "kind").agg(
-        F.min(row).alias("row"), F.max(name).alias("last"), F.first("bands").alias("bands")
+        F.min(row).alias("row"), F.min(doc).alias("low"), F.max(doc).alias("high"), F.first("bands").alias("bands")
     )
-    classes = settle(classes, "paragraph-classes")
-    lines = classes.where(F.col("kind") == LINE)
+    # Most passages are in one document only; their classes end here.
+    classes = settle(classes.where((F.col("kind") == LINE) | (F.col("low") != F.col("high"))), "paragraph-classes")
+    lines = classes.where(F.col("kind") == LINE).drop("low", "high")
     roots = components(near_links(docs, lines, similarity)).select(F.col("node").alias("k1"), "root")
     near = lines.drop("bands").join(roots, "k1")
     heads = near.groupBy("root").agg(F.min("row").alias("head"))
     near = near.join(heads, "root").select("k1", "k2", "kind", "head")
     # A class is of interest if it has a near one, or lies in two documents.
-    exact = classes.where(
-        F.struct(*[F.col(f"row.{c}") for c in ("__null", "__id", "__hash")]) != F.col("last")
-    ).select("k1", "k2", "kind", "row")
+    exact = classes.where("low != high").select("k1", "k2", "kind", "row")
     heads = exact.join(near, ["k1", "k2", "kind"], "full").select(
         "k1", "k2", "kind", F.coalesce("head", "row").alias("head")
     )
     spans = (
-        found.drop("bands", "words")
+        found.drop("bands")
         .join(heads, ["k1", "k2", "kind"])
         .where("__id != head.__id OR __null != head.__null OR __hash != head.__hash")
         .groupBy(*NAME, F.col("head.__id").alias("kept_id"), F.col("head.__null").alias("kept_null"))
