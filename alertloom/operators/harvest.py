@@ -14,6 +14,7 @@ from alertloom.operators.normalize import URL
 
 TERM = "term"
 TERM_RANK = "term_rank"
+CAP_PARTS = 64
 
 
 def _literals(values: Sequence[str]) -> Column:
@@ -58,7 +59,7 @@ def match_term_table(df: DataFrame, values: Column, terms: DataFrame) -> DataFra
 
 
 def match_trials(
-    trials: DataFrame, limit: int | None = fixed.TRIAL_TERM_LIMIT, every: bool = True
+    trials: DataFrame, limit: int | None = None, every: bool = True
 ) -> DataFrame:
     """Trials in a wanted status whose conditions include a search condition."""
     section = F.col("protocolSection")
@@ -71,7 +72,7 @@ def match_trials(
 
 
 def match_events(
-    reports: DataFrame, limit: int | None = fixed.EVENT_TERM_LIMIT, every: bool = True
+    reports: DataFrame, limit: int | None = None, every: bool = True
 ) -> DataFrame:
     """Reports with a wanted reaction."""
     reactions = F.col("patient.reaction.reactionmeddrapt")
@@ -80,7 +81,7 @@ def match_events(
 
 
 def match_recalls(
-    recalls: DataFrame, limit: int | None = fixed.RECALL_TERM_LIMIT, every: bool = True
+    recalls: DataFrame, limit: int | None = None, every: bool = True
 ) -> DataFrame:
     """Recalls with a wanted root cause."""
     terms = first_terms(fixed.RECALL_CAUSES, limit)
@@ -88,37 +89,48 @@ def match_recalls(
 
 
 def match_labels(
-    labels: DataFrame, limit: int | None = fixed.LABEL_TERM_LIMIT, every: bool = True
+    labels: DataFrame, limit: int | None = None, every: bool = True
 ) -> DataFrame:
-    """Labels of a wanted drug. The category is that of the drug's list."""
-    listed = [
-        (drug, category)
-        for category, drugs in fixed.LABEL_DRUGS.items()
-        for drug in first_terms(drugs, limit)
-    ]
+    """Labels of a wanted drug, named as the term. The category is that of its list."""
+    listed: dict[str, str] = {}
+    for category, drugs in fixed.LABEL_DRUGS.items():
+        for drug in first_terms(drugs, limit):
+            listed.setdefault(drug, category)  # a drug of two lists is of the first
     matched = match_terms(
-        labels.drop("category"), F.array("drug_name"), [d for d, _ in listed], every
+        labels.drop("category"), F.array("drug_name"), list(listed), every
     )
-    categories = _literals([c for _, c in listed])
-    return matched.withColumn(
-        "category", F.get(categories, F.col(TERM_RANK).cast("int") - 1)
+    categories = _literals(list(listed.values()))
+    return matched.withColumns(
+        {
+            "category": F.get(categories, F.col(TERM_RANK).cast("int") - 1),
+            "drug_name": F.col(TERM),
+        }
     )
 
 
 def cap_per_group(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], cap: int | None
+    df: DataFrame, group: Sequence[str], order: Sequence[str], cap: int | None
 ) -> DataFrame:
     """The first ``cap`` rows of each group; all rows if there is no cap.
 
-    Every task cuts its own part of a group to ``cap`` rows before the shuffle,
-    so one large group does not land in one task. Spark does so for caps up to
-    ``spark.sql.optimizer.windowGroupLimitThreshold``, which is 1000.
+    Each group is cut twice: first in parts, dealt by a hash of the order, then
+    as a whole, so that of a large group only ``cap`` rows of each part meet in
+    one task, whatever the cap. Rows alike in the order count as one place, and
+    are taken or left together.
     """
     if cap is None:
         return df
-    window = Window.partitionBy(*group).orderBy(*order)
-    ranked = df.withColumn("_rank", F.row_number().over(window))
-    return ranked.filter(F.col("_rank") <= cap).drop("_rank")
+    held = df.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(CAP_PARTS)))
+    for keys in ([*group, "_part"], list(group)):
+        places = Window.partitionBy(*keys).orderBy(*[F.asc_nulls_last(c) for c in order])
+        held = held.withColumn("_rank", F.dense_rank().over(places)).filter(F.col("_rank") <= cap)
+    return held.drop("_rank", "_part")
+
+
+def firsts_and_ties(df: DataFrame, order: Sequence[str], key: str = URL) -> DataFrame:
+    """The first rows per key: more than one where they tie in the order."""
+    places = Window.partitionBy(key).orderBy(*[F.asc_nulls_last(c) for c in order])
+    return df.withColumn("_rank", F.rank().over(places)).filter("_rank = 1").drop("_rank")
 
 
 def keyed_only(df: DataFrame, key: Column) -> DataFrame:
@@ -140,7 +152,9 @@ def first_wins(df: DataFrame, order: Sequence[Column], key: str = URL) -> DataFr
 
     Copies are cut to one per key in every task before the shuffle.
     """
-    return cap_per_group(df, [key], order, 1)
+    window = Window.partitionBy(key).orderBy(*order)
+    ranked = df.withColumn("_rank", F.row_number().over(window))
+    return ranked.filter(F.col("_rank") <= 1).drop("_rank")
 
 
 def union_sources(

@@ -20,7 +20,6 @@ NOTICES = {
 }
 RECALL_FILE = "Recalls.csv"
 EVENT_SOURCE = "fda_adverse_events"
-EVENT_ROWS = 1000
 DOCUMENT_FOLDER = "clinical_document_corpus"
 
 
@@ -38,11 +37,11 @@ def adverse_events(
     spark: SparkSession,
     folder: str,
     loaded_at: dt.datetime,
-    rows: int | None = EVENT_ROWS,
+    rows: int | None = None,
     null_text: str | None = None,
     seed: int | str = 42,
 ) -> DataFrame:
-    """All event files; by default an exact seeded sample. None keeps every row."""
+    """All event files; with ``rows``, an exact seeded sample of that many."""
     events = readers.read_event_csv(spark, folder)
     if rows is not None:
         events = sample.sample_exact(events, rows, events.columns, seed)
@@ -88,7 +87,7 @@ def run(
     target: str,
     base_uri: str,
     loaded_at: dt.datetime,
-    event_rows: int | None = EVENT_ROWS,
+    event_rows: int | None = None,
 ) -> dict[str, int | None]:
     """Rows written per table; None marks a feed whose files are absent."""
     feeds: dict[str, tuple[str, Callable[[], DataFrame]]] = {

@@ -28,6 +28,7 @@ from alertloom.plans import harvest as harvest_plan
 from alertloom.queries import inputs
 from alertloom.queries.backends import backend_factory
 from alertloom.queries.inputs import AS_OF, SEED, table
+from alertloom.session import settle
 from alertloom.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -535,7 +536,7 @@ def keyed_only(spark, folder):
 @query
 def cap_per_term(spark, folder):
     feed = inputs.feed(spark, folder)
-    return harvest.cap_per_group(feed, ["term"], [F.col("source_pos")], 12).select(
+    return harvest.cap_per_group(feed, ["term"], ["source_pos"], 12).select(
         "term", "source_pos", "source_url"
     )
 
@@ -620,23 +621,44 @@ def _landed(spark: SparkSession, folder: str) -> harvest_plan.Landed:
 
 @query
 def harvest_records(spark, folder):
-    """All four sources, capped per term, first per key, minus keys seen before."""
+    """All four sources with the page limits: first per key, not seen before, capped per term."""
     seen = inputs.recalls(spark, folder).select(normalize.recall_url().alias("source_url"))
     seen = seen.filter(seeded.hash_int(F.col("source_url"), seed=SEED) % 2 == 0)
-    new = harvest_plan.new_records(_landed(spark, folder), seen, AS_OF, SEED)
+    caps = harvest_plan.PAGE_CAPS
+    new = harvest_plan.new_records(_landed(spark, folder), seen, AS_OF, SEED, caps)
     return new.select("source", *harvest_plan.table_columns(new))
 
 
 @query
 def harvest_uncapped(spark, folder):
-    """The same without caps: every matched record of every source."""
-    everything = harvest_plan.Caps(None, None, None, None)
-    new = harvest_plan.new_records(
-        _landed(spark, folder), None, AS_OF, SEED, everything
-    )
+    """Every matched record of every source, for every term."""
+    new = harvest_plan.new_records(_landed(spark, folder), None, AS_OF, SEED)
     return new.select("source", *harvest_plan.table_columns(new))
 
 
+@query
+def harvest_rounds(spark, folder):
+    """Capped runs over the same landing until nothing is new: in the end all of it."""
+    landed, taken = _landed(spark, folder), None
+    most = landed.events.count() + landed.recalls.count() + landed.trials.count()
+    caps = harvest_plan.Caps(*[1 + most // 8] * 4)
+    while True:
+        seen = taken.select("source_url") if taken is not None else None
+        new = settle(harvest_plan.new_records(landed, seen, AS_OF, SEED, caps), "round")
+        if new.isEmpty():
+            return taken.select("source", *harvest_plan.table_columns(taken))
+        taken = new if taken is None else taken.unionByName(new)
+
+
+@query
+def cap_large(spark, folder):
+    """A cap above what Spark cuts before a shuffle by itself."""
+    feed = inputs.feed(spark, folder)
+    return harvest.cap_per_group(feed, ["term"], ["source_pos"], 1500).select(
+        "term", "source_pos", "source_url"
+    )
+
+
 # --- corpus ------------------------------------------------------------------
 
 

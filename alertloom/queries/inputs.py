@@ -316,7 +316,7 @@ LABEL_DRUGS = (
     "nivolumab",
     "aspirin",
     "sertraline",
-    "heparin",
+    "Warfarin",
 )
 LABEL_CATEGORIES = (
     "high_risk_drugs",

@@ -536,7 +536,7 @@ def label_records(source: str, extra: str = "") -> str:
 
     def override(table: Mapping[str, Sequence[str]], index: int, default: str) -> str:
         known = {drug: pair[index] for drug, pair in table.items()}
-        return case("drug_name", known, fill(default, fillers))
+        return case("lower(drug_name)", known, fill(default, fillers))
 
     approved = part(30, 1095, "approval")
     due = part(14, 60, "deadline")
@@ -601,10 +601,12 @@ def ranked(terms: Sequence[str]) -> str:
     return f"(VALUES {listed}) w(term, term_rank)"
 
 
-TRIAL_TERMS = ranked(records.TRIAL_CONDITIONS[:4])
-EVENT_TERMS = ranked(records.EVENT_REACTIONS[:6])
-RECALL_TERMS = ranked([c.lower() for c in records.RECALL_CAUSES[:3]])
-LABEL_LIST = [(d, c) for c, ds in records.LABEL_DRUGS.items() for d in ds[:4]]
+TRIAL_TERMS = ranked(records.TRIAL_CONDITIONS)
+EVENT_TERMS = ranked(records.EVENT_REACTIONS)
+RECALL_TERMS = ranked([c.lower() for c in records.RECALL_CAUSES])
+LABEL_LIST = list(
+    {d: c for c, ds in reversed(records.LABEL_DRUGS.items()) for d in reversed(ds)}.items()
+)[::-1]
 LABEL_TERMS = (
     "(VALUES "
     + ", ".join(
@@ -626,8 +628,8 @@ MATCHED_RECALLS = (
     "WHERE lower(root_cause_description) = term"
 )
 MATCHED_LABELS = (
-    "SELECT source_pos, setid, drug_name, list_category AS category, term, term_rank "
-    f"FROM lab, {LABEL_TERMS} WHERE drug_name = term"
+    "SELECT source_pos, setid, term AS drug_name, list_category AS category, term, "
+    f"term_rank FROM lab, {LABEL_TERMS} WHERE lower(drug_name) = term"
 )
 RANK = "CAST(term_rank AS BIGINT) AS term_rank"
 oracle(
@@ -701,52 +703,72 @@ oracle(
 )
 
 
-def harvested(capped: bool) -> str:
-    """All sources as records, with source, rank and position."""
+# Of each source: matched records, key, cap, records, and whether there is a key.
+SOURCES = (
+    ("labels", MATCHED_LABELS, LABEL_URL, records.LABEL_CAP, label_records, "setid IS NOT NULL"),
+    ("events", MATCHED_EVENTS, EVENT_URL, records.EVENT_CAP, event_records, "true"),
+    ("recalls", MATCHED_RECALLS, RECALL_URL, records.RECALL_CAP, recall_records, "true"),
+    ("trials", MATCHED_TRIALS, TRIAL_URL, records.TRIAL_CAP, trial_records, "nct_id IS NOT NULL"),
+)
+LEADING_TERMS = {
+    "labels": records.LABEL_TERM_LIMIT,
+    "events": records.EVENT_TERM_LIMIT,
+    "recalls": records.RECALL_TERM_LIMIT,
+    "trials": records.TRIAL_TERM_LIMIT,
+}
+
+
+def leading(source: str) -> str:
+    """The terms that a run with the page limits searches for."""
+    limit = LEADING_TERMS[source]
+    if source == "labels":
+        listed = [lit(d) for ds in records.LABEL_DRUGS.values() for d in ds[:limit]]
+        return f"term IN ({', '.join(listed)})"
+    return f"term_rank <= {limit}"
+
+
+def harvested(paged: bool) -> str:
+    """The first record of each key, with source, rank, term and position."""
     parts = []
-    sources = (
-        ("labels", MATCHED_LABELS, LABEL_URL, 3, label_records),
-        ("events", MATCHED_EVENTS, EVENT_URL, 8, event_records),
-        ("recalls", MATCHED_RECALLS, RECALL_URL, 10, recall_records),
-        ("trials", MATCHED_TRIALS, TRIAL_URL, 12, trial_records),
-    )
     ctes = [
         f"lab AS ({inputs.LABELS_SQL})",
         f"rep AS ({inputs.REPORTS_SQL})",
         f"rcl AS ({inputs.RECALLS_SQL})",
         f"tri AS ({inputs.TRIALS_SQL})",
     ]
-    keys = {
-        "labels": "setid IS NOT NULL",
-        "events": "true",
-        "recalls": "true",
-        "trials": "nct_id IS NOT NULL",
-    }
-    for rank, (name, matched, url, cap, build) in enumerate(sources, start=1):
-        limit = (
-            f" QUALIFY row_number() OVER (PARTITION BY term ORDER BY source_pos, "
-            f"{url} NULLS LAST) <= {cap}"
-            if capped
-            else ""
+    for rank, (name, matched, _, cap, build, keyed) in enumerate(SOURCES, start=1):
+        terms = f" WHERE {leading(name)}" if paged else ""
+        ctes.append(f"m_{name} AS (SELECT * FROM ({matched}){terms})")
+        extra = (
+            f"'{name}' AS source, {rank} AS source_rank, term_rank, source_pos, {cap} AS cap, "
         )
-        ctes.append(f"m_{name} AS (SELECT * FROM ({matched}){limit})")
-        extra = f"'{name}' AS source, {rank} AS source_rank, term_rank, source_pos, "
-        parts.append(f"{build(f'm_{name}', extra)} WHERE {keys[name]}")
-    return "WITH " + ", ".join(ctes) + ", found AS (" + " UNION ALL ".join(parts) + ")"
+        parts.append(f"{build(f'm_{name}', extra)} WHERE {keyed}")
+    first = (
+        "SELECT * FROM found QUALIFY row_number() OVER (PARTITION BY source_url ORDER BY "
+        f"source_rank, term_rank, source_pos, {digest(*codes.RECORD_FIELDS)}) = 1"
+    )
+    return (
+        "WITH " + ", ".join(ctes) + ", found AS (" + " UNION ALL ".join(parts) + "), "
+        f"firsts AS ({first})"
+    )
 
 
-FOUND_FIRSTS = (
-    "SELECT * EXCLUDE (source_rank, term_rank, source_pos) FROM found "
-    "QUALIFY row_number() OVER (PARTITION BY source_url ORDER BY source_rank, "
-    "term_rank, source_pos) = 1"
-)
+RECORDS_OF = "* EXCLUDE (source_rank, term_rank, source_pos, cap)"
 oracle(
     "harvest_records",
-    f"{harvested(True)}, seen AS (SELECT {RECALL_URL} AS u FROM rcl), "
-    f"f AS ({FOUND_FIRSTS}) SELECT * FROM f WHERE source_url NOT IN "
-    f"(SELECT u FROM seen WHERE {number('u', seed=SEED)} % 2 = 0)",
+    f"{harvested(True)}, seen AS (SELECT {RECALL_URL} AS u FROM rcl) "
+    f"SELECT {RECORDS_OF} FROM firsts WHERE source_url NOT IN "
+    f"(SELECT u FROM seen WHERE {number('u', seed=SEED)} % 2 = 0) "
+    "QUALIFY row_number() OVER (PARTITION BY source, term_rank "
+    "ORDER BY source_pos, source_url) <= cap",
+)
+oracle("harvest_uncapped", f"{harvested(False)} SELECT {RECORDS_OF} FROM firsts")
+oracle("harvest_rounds", f"{harvested(False)} SELECT {RECORDS_OF} FROM firsts")
+oracle(
+    "cap_large",
+    f"{FEED} SELECT term, source_pos, source_url FROM feed QUALIFY "
+    "row_number() OVER (PARTITION BY term ORDER BY source_pos) <= 1500",
 )
-oracle("harvest_uncapped", f"{harvested(False)} {FOUND_FIRSTS}")
 
 # --- corpus ------------------------------------------------------------------
 

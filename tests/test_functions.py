@@ -127,3 +127,14 @@ def test_null_keeps_its_place_in_a_key(one):
     columns = [seeded.digest(F.col("a"), F.col("b")), seeded.digest(F.col("b"), F.col("a"))]
     left, right = one(columns, a=("x", "STRING"), b=(None, "STRING"))
     assert left != right
+
+
+def test_decimals_round_the_binary_value(spark):
+    values = [900.15, 900.45, 0.15, 0.25, 0.35, 2.5, 3.5, 0.5, 1e-9, 123456.05, -0.04, -1.25, 99.95, 750.0, 2.675]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for places in (0, 1, 2):
+        got = [r[0] for r in df.select(text.decimals(F.col("v"), places)).collect()]
+        wanted = [f"{v:.{places}f}" for v in values]
+        assert [g.removeprefix("-") if float(g) == 0 else g for g in got] == [
+            w.removeprefix("-") if float(w) == 0 else w for w in wanted
+        ]

@@ -21,9 +21,9 @@ def test_terms_ignore_case_and_repeat_a_record_per_term(spark):
 
 def test_cap_holds_with_one_huge_group(spark):
     df = spark.range(3000).withColumn("g", F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id")))
-    rows = harvest.cap_per_group(df, ["g"], [F.col("id")], 5).filter("g = 0").collect()
+    rows = harvest.cap_per_group(df, ["g"], ["id"], 5).filter("g = 0").collect()
     assert sorted(r.id for r in rows) == [0, 1, 2, 4, 5]
-    assert harvest.cap_per_group(df, ["g"], [F.col("id")], None).count() == 3000
+    assert harvest.cap_per_group(df, ["g"], ["id"], None).count() == 3000
 
 
 def test_first_wins_and_new_only(spark):
@@ -73,26 +73,48 @@ def report(number):
     }
 
 
-def test_two_runs_take_each_record_once(spark, tmp_path):
+def test_capped_runs_take_everything_in_the_end(spark, tmp_path):
     folder, state = str(tmp_path / "out"), str(tmp_path / "seen")
     feed = landed(spark, [report(i) for i in range(20)])
     taken = []
     for hour in (1, 2, 3, 4):
         seen = readers.read_seen(spark, state)
-        new = plan.run(feed, seen, DAY)
+        new = plan.run(feed, seen, DAY, caps=plan.PAGE_CAPS)
         plan.commit(new, folder, dt.datetime(2025, 9, 14, hour), state)
         urls = [r.source_url for r in new.select("source_url").collect()]
         taken.append([u for u in urls if "adverse-event" in u])
-    # Eight records per term are looked at before the state is, run after run.
-    assert len(taken[0]) == 8 and taken[1] == taken[2] == taken[3] == []
+    assert [len(t) for t in taken] == [8, 8, 4, 0]
+    assert len({u for t in taken for u in t}) == 20
     newest = readers.read_records(spark, folder)
     assert newest.columns == list(RECORD_FIELDS)
     assert newest.count() == 2  # the two added when a run finds too little
     everything = readers.read_records_text(spark, folder)
-    assert everything.count() == 8 + 4 * 2
+    assert everything.count() == 20 + 4 * 2
     assert everything.filter("device_name IS NULL").count() == 0
 
 
+def test_a_run_takes_all_by_default(spark):
+    feed = landed(spark, [report(i) for i in range(20)])
+    assert plan.new_records(feed, None, DAY).count() == 20
+
+
+def test_ties_do_not_depend_on_the_order_of_rows(spark):
+    """Two files may number their records alike."""
+    pair = [report(1), {**report(1), "serious": "1"}]
+    found = set()
+    for rows in (pair, pair[::-1]):
+        feed = landed(spark, rows)
+        feed.events = feed.events.withColumn("source_pos", F.lit(0))
+        found.add(plan.new_records(feed, None, DAY).select("risk_level").first()[0])
+    assert len(found) == 1
+
+
+def test_large_caps_are_cut_in_parts(spark):
+    df = spark.range(6000).select((F.col("id") % 2).alias("g"), "id")
+    kept = harvest.cap_per_group(df, ["g"], ["id"], 1500)
+    assert kept.groupBy("g").agg(F.max("id")).sort("g").collect() == [(0, 2998), (1, 2999)]
+
+
 def test_without_caps_every_record_comes_once(spark):
     feed = landed(spark, [report(i % 15) for i in range(40)])
     new = plan.new_records(feed, None, DAY, caps=plan.Caps(None, None, None, None))

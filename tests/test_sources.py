@@ -52,7 +52,7 @@ def test_full_load(spark, folder, tmp_path):
     written = load.run(spark, str(folder), target, "gs://bucket", NOW)
     assert written == {
         "ground_truth_master": 1,
-        "fda_adverse_events": 1000,
+        "fda_adverse_events": 1200,
         "fda_recalls": None,
         "fda_safety_communications": 1,
         "fda_drug_alerts": 4,
