@@ -78,14 +78,21 @@ def _bounds(segments: int) -> list[tuple[int, int]]:
     return list(zip(cuts, cuts[1:]))
 
 
-def _ball(fp: Column, segment: int, low: int, high: int, radius: int) -> list[Column]:
-    """A bucket for each value within `radius` bits of the segment's."""
-    value = F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << (high - low)) - 1))
-    return [
-        F.xxhash64(F.lit(segment), value.bitwiseXOR(F.lit(sum(1 << b for b in bits)).cast("long")))
-        for size in range(radius + 1)
-        for bits in combinations(range(high - low), size)
-    ]
+def _balls(segments: int, radius: int) -> Column:
+    """For each segment, its place and the bits changed in each value of the ball: a constant."""
+    entries = []
+    for segment, (low, high) in enumerate(_bounds(segments)):
+        whole = (1 << (high - low)) - 1
+        for size in range(radius + 1):
+            for bits in combinations(range(high - low), size):
+                change = sum(1 << b for b in bits)
+                entries.append(f"named_struct('s',{segment},'low',{low},'whole',{_sql(whole)},'change',{_sql(change)})")
+    return F.expr(f"array({','.join(entries)})")
+
+
+def _sql(bits: int) -> str:
+    value = bits - (1 << 64) if bits >> 63 else bits
+    return f"{value}L" if value > -(1 << 63) else "(-9223372036854775807L - 1L)"
 
 
 def _within(distance: int):
@@ -105,12 +112,10 @@ def links(prints: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS)
     distinct = prints.select("fp").where("fp IS NOT NULL").distinct()
     # Two values that differ in r bits have a value between them, r / 2 bits from either.
     radius = -(-(distance // segments) // 2)
-    buckets = [
-        bucket
-        for segment, (low, high) in enumerate(_bounds(segments))
-        for bucket in _ball(F.col("fp"), segment, low, high, radius)
-    ]
-    members = distinct.select(F.explode(F.array(*buckets)).alias("bucket"), F.col("fp").alias("id"))
+    bucket = F.expr("xxhash64(ball.s, (shiftrightunsigned(fp, ball.low) & ball.whole) ^ ball.change)")
+    members = distinct.select("fp", F.explode(_balls(segments, radius)).alias("ball")).select(
+        bucket.alias("bucket"), F.col("fp").alias("id")
+    )
     return forest(members, _within(distance))
 
 
