@@ -177,13 +177,13 @@ def near_links(docs: DataFrame, lines: DataFrame, similarity: float) -> DataFram
     texts = (
         named(docs)
         .select(*NAME, F.col("text").cast("string").alias("all"))
-        .join(wanted, NAME)
-        .dropDuplicates(NAME)
+        .join(wanted.hint("shuffle_hash"), NAME)
         .select("all", F.explode("wanted").alias("w"))
         .select(
             "w.k1",
             F.col("all").substr(F.col("w.start") + 1, F.col("w.end") - F.col("w.start")).alias("text"),
         )
+        .dropDuplicates(["k1"])  # of rows alike in doc_id and text
     )
     rows = members.select("bucket", F.col("k1").alias("id")).join(
         settle(texts, "band-texts").withColumnRenamed("k1", "id"), "id"
@@ -219,7 +219,7 @@ def repeats(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MI
     )
     spans = (
         found.drop("bands")
-        .join(heads, ["k1", "k2", "kind"])
+        .join(heads.hint("shuffle_hash"), ["k1", "k2", "kind"])
         .where("__id != head.__id OR __null != head.__null OR __hash != head.__hash")
         .groupBy(*NAME, F.col("head.__id").alias("kept_id"), F.col("head.__null").alias("kept_null"))
         .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("all"))
