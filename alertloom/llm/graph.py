@@ -55,9 +55,9 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
 
-def spread(rows: DataFrame, *keys: str) -> DataFrame:
+def spread(rows: DataFrame) -> DataFrame:
     """The rows dealt to as many tasks as a shuffle has, before each of them turns into many."""
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def shared_buckets(members: DataFrame) -> DataFrame:

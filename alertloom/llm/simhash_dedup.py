@@ -109,7 +109,7 @@ def _within(distance: int):
 
 def links(prints: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS) -> DataFrame:
     """Links (a, b) between distinct fingerprints `fp`: all that their components need."""
-    distinct = spread(prints.select("fp").where("fp IS NOT NULL").distinct(), "fp")
+    distinct = spread(prints.select("fp").where("fp IS NOT NULL").distinct())
     # Two values that differ in r bits have a value between them, r / 2 bits from either.
     radius = -(-(distance // segments) // 2)
     bucket = F.expr("xxhash64(ball.s, (shiftrightunsigned(fp, ball.low) & ball.whole) ^ ball.change)")
