@@ -74,14 +74,14 @@ def test_full_load(spark, folder, tmp_path):
     safety = spark.read.parquet(f"{target}/fda_safety_communications").first()
     assert (safety["Safety Alert"], safety.alert_date) == ("Stop use", dt.date(2025, 1, 2))
     events = spark.read.parquet(f"{target}/fda_adverse_events")
-    assert events.filter("occurcountry IS NULL").count() == 1000
+    assert events.filter("occurcountry IS NULL").count() == 1200
     manifest = spark.read.parquet(f"{target}/knowledge_base_master").first()
     assert manifest.document_uri.endswith("hospital_documents/sub folder/a sop+%41.txt")
     assert (manifest.document_type, manifest.file_size_bytes) == ("CLINICAL_PROTOCOL", 5)
 
     # A second run replaces tables and adds no manifest row twice.
-    load.run(spark, str(folder), target, "gs://bucket", NOW, event_rows=None)
-    assert spark.read.parquet(f"{target}/fda_adverse_events").count() == 1200
+    load.run(spark, str(folder), target, "gs://bucket", NOW, event_rows=1000)
+    assert spark.read.parquet(f"{target}/fda_adverse_events").count() == 1000
     assert spark.read.parquet(f"{target}/knowledge_base_master").count() == 1
 
 
