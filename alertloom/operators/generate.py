@@ -21,7 +21,9 @@ from alertloom.session import settle
 
 PROMPT = "prompt"
 RESPONSE = "response"
+ERROR = "error"
 BATCH = 64
+PROMPTS_PER_TASK = 1024
 
 
 class Backend(Protocol):
@@ -125,14 +127,29 @@ def plan_rows(df: DataFrame, keep: Sequence[str], plan: str = "plan") -> DataFra
 def _answers(
     make_backend: Callable[[], Backend], options: dict, batch: int
 ) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def ask(backend: Backend, prompts: list[str]) -> list[tuple[str | None, str | None]]:
+        """(answer, error) of each prompt; a batch that fails is asked again in halves."""
+        try:
+            answers = list(backend.complete(prompts, **options))
+            if len(answers) != len(prompts):
+                raise ValueError(f"{len(answers)} answers to {len(prompts)} prompts")
+            return [(answer, None) for answer in answers]
+        except Exception as error:  # whatever a backend raises, its rows fall back
+            if len(prompts) == 1:
+                return [(None, f"{type(error).__name__}: {error}")]
+            half = len(prompts) // 2
+            return ask(backend, prompts[:half]) + ask(backend, prompts[half:])
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         backend = make_backend()
         for frame in frames:
-            answers: list[str | None] = []
             prompts = frame[PROMPT].tolist()
+            found: list[tuple[str | None, str | None]] = []
             for start in range(0, len(prompts), batch):
-                answers.extend(backend.complete(prompts[start : start + batch], **options))
-            yield pd.DataFrame({PROMPT: prompts, RESPONSE: answers}, dtype=object)
+                found += ask(backend, prompts[start : start + batch])
+            answers, errors = zip(*found, strict=True) if found else ((), ())
+            columns = {PROMPT: prompts, RESPONSE: answers, ERROR: errors}
+            yield pd.DataFrame(columns, dtype=object)
 
     return run
 
@@ -145,26 +162,31 @@ def responses(
     once: bool = True,
     **options,
 ) -> DataFrame:
-    """One row per distinct prompt with the backend's raw answer.
+    """One row per distinct prompt: the backend's raw answer, or the error it raised.
+
+    A call that fails is tried again in halves down to single prompts, so one prompt
+    the backend cannot take costs no other its answer; it has a null answer.
 
-    Prompts are few bytes but slow to answer, so they are dealt out to as many
-    tasks as there are cores, or as asked for, instead of by size.
+    Distinct prompts are few bytes but slow to answer. They are stored, counted, and
+    dealt out in pieces of a bounded number of prompts, and at least one per core, so
+    a lost task asks no more than its piece again. ``tasks`` sets the pieces instead.
 
     With ``once`` the answers are stored before use, so that neither a retry
     downstream nor a second use of the result asks the backend again.
     """
     asked = prompts.select(PROMPT).filter(F.col(PROMPT).isNotNull()).distinct()
-    schema = T.StructType(
-        [T.StructField(PROMPT, T.StringType()), T.StructField(RESPONSE, T.StringType())]
-    )
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (PROMPT, RESPONSE, ERROR)])
     chosen = {
         "temperature": fixed.TEMPERATURE,
         "max_output_tokens": fixed.MAX_OUTPUT_TOKENS,
         **options,
     }
-    dealt = asked.repartition(tasks or asked.sparkSession.sparkContext.defaultParallelism)
-    answered = dealt.mapInPandas(_answers(make_backend, chosen, batch), schema)
-    return settle(answered) if once else answered
+    if tasks is None:
+        asked = settle(asked, "prompts")
+        cores = asked.sparkSession.sparkContext.defaultParallelism
+        tasks = max(cores, -(-asked.count() // PROMPTS_PER_TASK))
+    answered = asked.repartition(tasks).mapInPandas(_answers(make_backend, chosen, batch), schema)
+    return settle(answered, "answers") if once else answered
 
 
 def _ask(
@@ -172,19 +194,24 @@ def _ask(
     prompt: Column,
     make_backend: Callable[[], Backend],
     read: Callable[[Column], dict[str, Column]],
+    error: str | None = None,
     **settings,
 ) -> DataFrame:
     """Attach what ``read`` takes from the parsed answers.
 
     Answers are read before they meet the rows, so each is parsed once however
-    many rows share its prompt. They meet on the prompt's 256-bit hash.
+    many rows share its prompt. They meet on the prompt's 256-bit hash. With
+    ``error`` a column of that name holds what the backend raised for the row.
     """
     prompted = df.withColumn(PROMPT, prompt)
     parsed = responses(prompted, make_backend, **settings).select(
         F.sha2(PROMPT, 256).alias("_key"),
         F.from_json(RESPONSE, schemas.RESPONSE).alias("_parsed"),
+        ERROR,
     )
     fields = [c.alias(n) for n, c in read(F.col("_parsed")).items()]
+    if error:
+        fields.append(F.col(ERROR).alias(error))
     keyed = prompted.withColumn("_key", F.sha2(PROMPT, 256)).drop(PROMPT)
     return keyed.join(parsed.select("_key", *fields), "_key", "left").drop("_key")
 

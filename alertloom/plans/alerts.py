@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from alertloom.operators import generate, impact, scenario
+from alertloom.session import settle
 
 
 def analyze(
@@ -33,8 +34,10 @@ def analyze_with_backend(
 ) -> DataFrame:
     """The same with generated answers; each falls back row by row on its own.
 
-    Later prompts hold earlier answers, so the three steps follow one another.
-    Scenarios with the same prompt share one call.
+    A backend that raises costs the rows concerned their answers, not the job:
+    ``failed_calls`` counts those of the three that raised. The plan's prompt holds
+    the two earlier answers, which are stored with their scenarios before it is
+    made. Scenarios with the same prompt share one call.
     """
     scenarios = scenario.critical(records, keys, named_only)
     briefed = generate.generate_text(
@@ -42,6 +45,7 @@ def analyze_with_backend(
         generate.briefing_prompt(),
         make_backend,
         generate.default_briefing(),
+        error="_briefing_error",
         **settings,
     )
     priced = generate.generate_double(
@@ -49,13 +53,17 @@ def analyze_with_backend(
         generate.cost_prompt(),
         make_backend,
         generate.default_cost(),
+        error="_cost_error",
         **settings,
     )
     planned = generate.generate_table(
-        priced,
+        settle(priced, "priced"),
         generate.plan_prompt(F.col("briefing"), F.col("financial_impact")),
         make_backend,
         fallback=generate.default_plan(),
+        error="_plan_error",
         **settings,
     ).withColumn(impact.HOURS, impact.hours_of_plan(F.col("plan")))
-    return impact.impact_metrics(planned)
+    errors = ["_briefing_error", "_cost_error", "_plan_error"]
+    failed = sum((F.col(e).isNotNull().cast("int") for e in errors), F.lit(0))
+    return impact.impact_metrics(planned.withColumn("failed_calls", failed).drop(*errors))

@@ -827,6 +827,28 @@ def generate_table_batch(spark, folder):
     return generate.plan_rows(answered, ["scenario_id"])
 
 
+@query
+def alert_analysis_backend(spark, folder):
+    """The analysis with generated answers, from a backend that fails at times."""
+    analyzed = alerts.analyze_with_backend(
+        inputs.scenarios(spark, folder), ["scenario_id"], backend_factory(raises=True)
+    )
+    return _rounded(analyzed, "efficiency_gain", "speed_up").select(
+        "scenario_id",
+        "briefing",
+        "finish_reason",
+        "is_truncated",
+        "financial_impact",
+        F.size("plan").cast("bigint").alias("steps"),
+        "total_hours",
+        "time_saved",
+        "efficiency_gain",
+        "cost_saved",
+        "speed_up",
+        F.col("failed_calls").cast("bigint").alias("failed_calls"),
+    )
+
+
 # --- streaming ---------------------------------------------------------------
 
 

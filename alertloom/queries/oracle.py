@@ -974,6 +974,42 @@ oracle(
     "WHERE a[1] NOT IN ('0', 'f')",
 )
 
+
+
+def given(column: str) -> str:
+    return f"CAST('0x' || {column}[2:5] AS BIGINT) % 1000"
+
+
+ASKED_PLAN = fill(
+    analysis.PLAN_PROMPT,
+    {"briefing": "briefing", "cost": "format('{:,}', CAST(financial_impact AS BIGINT))"},
+)
+PLAN_STEPS = len(analysis.ACTION_PLAN)
+PLAN_HOURS = sum(hours for *_, hours in analysis.ACTION_PLAN)
+oracle(
+    "alert_analysis_backend",
+    f"{SCEN}, p AS (SELECT *, md5({BRIEFING_PROMPT}) AS a, md5({COST_PROMPT}) AS c "
+    f"FROM scen WHERE risk_level = 'Critical' AND {ENTITY} IS NOT NULL), "
+    "q AS (SELECT scenario_id, a, c, CASE WHEN a[1] IN ('0', '9') "
+    f"THEN {BRIEFING} ELSE 'Answer ' || a END AS briefing, "
+    f"CAST(CASE WHEN c[1] IN ('0', '9', 'f') OR {given('c')} = 0 THEN {COST} "
+    f"ELSE {given('c')} END AS DOUBLE) AS financial_impact FROM p), "
+    f"r AS (SELECT *, md5({ASKED_PLAN}) AS b FROM q), "
+    "s AS (SELECT *, b[1] IN ('0', '9', 'f') AS fixed_plan FROM r), "
+    f"t AS (SELECT *, CAST(CASE WHEN fixed_plan THEN {PLAN_HOURS} ELSE {given('b')} + 5 END "
+    "AS BIGINT) AS total_hours FROM s) SELECT scenario_id, briefing, "
+    f"CASE WHEN a[1] IN ('0', '9') THEN NULL WHEN {TRUNCATED} THEN 'MAX_TOKENS' "
+    f"ELSE 'STOP' END AS finish_reason, {TRUNCATED} AS is_truncated, financial_impact, "
+    f"CAST(CASE WHEN fixed_plan THEN {PLAN_STEPS} ELSE 2 END AS BIGINT) AS steps, "
+    f"total_hours, {analysis.MANUAL_HOURS} - total_hours AS time_saved, "
+    f"round(({analysis.MANUAL_HOURS} - total_hours) / {analysis.MANUAL_HOURS}.0::DOUBLE "
+    "* 100, 4) AS efficiency_gain, "
+    f"{analysis.MANUAL_COST} + financial_impact AS cost_saved, "
+    f"round({analysis.MANUAL_HOURS}.0::DOUBLE / total_hours, 4) AS speed_up, "
+    "CAST((a[1] = '9')::INT + (b[1] = '9')::INT + (c[1] = '9')::INT AS BIGINT) "
+    "AS failed_calls FROM t",
+)
+
 # --- streaming ---------------------------------------------------------------
 
 STREAM_URL = "'https://records.invalid/' || user_id || '/' || props"

@@ -163,6 +163,31 @@ def test_each_distinct_prompt_is_asked_once(spark, tmp_path):
         assert len(calls.readlines()) == 3
 
 
+def failing():
+    class Failing:
+        def complete(self, prompts, **options):
+            if "p1" in prompts:
+                raise ConnectionError("busy")
+            if "p2" in prompts and len(prompts) > 1:
+                return []
+            parts = [{"parts": [{"text": p}]} for p in prompts]
+            return [json.dumps({"candidates": [{"content": c}]}) for c in parts]
+
+    return Failing
+
+
+def test_a_failing_backend_costs_only_the_rows_concerned(spark):
+    df = spark.range(20).withColumn("p", F.concat(F.lit("p"), (F.col("id") % 5).cast("string")))
+    done = generate.generate_text(
+        df, F.col("p"), failing(), F.lit("none"), tasks=1, error="error"
+    ).select("p", "briefing", "is_truncated", "error")
+    assert {tuple(r) for r in done.collect()} == {
+        ("p1", "none", False, "ConnectionError: busy"),
+        *((f"p{i}", f"p{i}", False, None) for i in (0, 2, 3, 4)),
+    }
+    assert done.count() == 20
+
+
 def test_analysis_with_defaults(records):
     rows = {r.id: r for r in alerts.analyze(records, ["id"]).collect()}
     assert set(rows) == {1, 2}

@@ -11,7 +11,12 @@ from alertloom.queries.catalog import QUERIES
 from alertloom.queries.oracle import ORACLE
 
 FOLDER = "/root/testdata/sf0.001"
-GENERATED = {"generate_text_batch", "generate_double_batch", "generate_table_batch"}
+GENERATED = {
+    "generate_text_batch",
+    "generate_double_batch",
+    "generate_table_batch",
+    "alert_analysis_backend",
+}
 STREAMED = {"stream_new_only", "stream_to_table"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
