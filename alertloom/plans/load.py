@@ -40,9 +40,11 @@ def adverse_events(
     rows: int | None = None,
     null_text: str | None = None,
     seed: int | str = 42,
+    multiline: bool = False,
+    skip_unknown: bool = False,
 ) -> DataFrame:
     """All event files; with ``rows``, an exact seeded sample of that many."""
-    events = readers.read_event_csv(spark, folder)
+    events = readers.read_event_csv(spark, folder, multiline, skip_unknown)
     if rows is not None:
         events = sample.sample_exact(events, rows, events.columns, seed)
     return clean.stamp(clean.text_columns(events, null_text), loaded_at, EVENT_SOURCE)

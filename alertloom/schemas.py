@@ -52,16 +52,23 @@ DEVICE_RECALL = record(
     )
 )
 
-CLINICAL_TRIAL = record(
-    protocolSection=record(
-        identificationModule=record(**texts("nctId briefTitle")),
-        statusModule=record(overallStatus=TEXT),
-        conditionsModule=record(conditions=many(TEXT)),
-        armsInterventionsModule=record(interventions=many(record(name=TEXT))),
-        designModule=record(phases=many(TEXT), enrollmentInfo=record(count=WHOLE)),
-        sponsorCollaboratorsModule=record(leadSponsor=record(name=TEXT)),
+
+def _trial(listed: T.DataType) -> T.StructType:
+    return record(
+        protocolSection=record(
+            identificationModule=record(**texts("nctId briefTitle")),
+            statusModule=record(overallStatus=TEXT),
+            conditionsModule=record(conditions=listed),
+            armsInterventionsModule=record(interventions=many(record(name=TEXT))),
+            designModule=record(phases=listed, enrollmentInfo=record(count=WHOLE)),
+            sponsorCollaboratorsModule=record(leadSponsor=record(name=TEXT)),
+        )
     )
-)
+
+
+CLINICAL_TRIAL = _trial(many(TEXT))
+# As it may land: conditions and phases as a list or as plain text.
+LANDED_TRIAL = _trial(TEXT)
 
 DRUG_LABEL = record(**texts("setid drug_name"))
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import csv
 import re
+from collections import defaultdict
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alertloom import schemas
+from alertloom.functions import nested
 from alertloom.operators import clean, flatten, harvest
 
 # Names of the files each load looks for.
@@ -45,23 +49,102 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """Visible files at a path or pattern; of a folder, those directly in it."""
+    found = []
+    for status in _listed(spark, path):
+        if status.isDirectory():
+            found += _files(spark, f"{status.getPath()}/*")
+        elif not status.getPath().getName().startswith(("_", ".")):
+            found.append(status.getPath().toString())
+    return sorted(found)
+
+
+def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Trimmed column names of a CSV file, from its first line; the rest is not read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(conf).open(target)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(target)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
+    lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        line = lines.readLine()
+    finally:
+        lines.close()
+    names = next(csv.reader([(line or "").removeprefix("\ufeff")]), [])
+    return tuple(name.strip() for name in names)
+
+
+class UnknownLayout(ValueError):
+    """CSV files whose header has none of the wanted columns."""
+
+
+def csv_layouts(
+    spark: SparkSession, path: str, schema: T.StructType
+) -> tuple[dict[tuple[str, ...], list[str]], list[str]]:
+    """Files by header, and the files whose header has no column of the schema.
+
+    One line of each file is read. A file without any line is in neither.
+    """
+    known, unknown = defaultdict(list), []
+    for file in _files(spark, path):
+        header = _header(spark, file)
+        if set(header) & set(schema.names):
+            known[header].append(file)
+        elif header:
+            unknown.append(file)
+    return dict(known), unknown
+
+
+def _as_read(header: tuple[str, ...], schema: T.StructType) -> T.StructType:
+    """The header's columns in its order, typed by the schema; of a repeated name the first."""
+    kinds = {f.name: f.dataType for f in schema.fields}
+    fields = []
+    for position, name in enumerate(header):
+        kind = kinds.pop(name, None)
+        fields.append(T.StructField(name if kind else f"_c{position}", kind or T.StringType()))
+    return T.StructType(fields)
+
+
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    multiline: bool = False,
+    skip_unknown: bool = False,
 ) -> DataFrame:
     """Headered CSV files at a path or pattern, stacked; a quote inside is doubled.
 
+    Columns are taken by the names in each file's header, whatever their order: a
+    column that a file lacks is null, one that the schema lacks is left out. Files with
+    no known column raise ``UnknownLayout``; with ``skip_unknown`` they are left out, and
+    ``csv_layouts`` lists them. There is one scan per layout, not per file.
+
     With ``multiline`` a quoted value may hold line breaks, and each file is then
     one task; leave it off for large files without such values.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("encoding", "UTF-8")
-        .option("multiLine", multiline)
-        .csv(path)
-    )
+    layouts, unknown = csv_layouts(spark, path, schema)
+    if unknown and not skip_unknown:
+        raise UnknownLayout(f"no known column in {unknown}")
+    frames = []
+    for header, files in layouts.items():
+        frame = (
+            spark.read.schema(_as_read(header, schema))
+            .option("header", True)
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("encoding", "UTF-8")
+            .option("multiLine", multiline)
+            .csv(files)
+        )
+        columns = [
+            clean.quoted(f.name) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+        frames.append(frame.select(*columns))
+    return reduce(DataFrame.unionByName, frames) if frames else empty(spark, schema)
 
 
 def read_csv_by_name(
@@ -69,9 +152,9 @@ def read_csv_by_name(
     paths: Sequence[str],
     schemas_by_path: Sequence[T.StructType],
 ) -> DataFrame:
-    """Stack CSV files whose columns differ: by name, null where one lacks a column."""
+    """Stack CSV files whose schemas differ: by name, null where one lacks a column."""
     frames = [
-        spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+        read_csv(spark, path, schema)
         for path, schema in zip(paths, schemas_by_path, strict=True)
     ]
     stacked = frames[0]
@@ -94,11 +177,17 @@ def read_records_text(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv(spark, files, schemas.RECORD_TEXT, multiline=True).na.fill("")
 
 
-def read_event_csv(spark: SparkSession, folder: str) -> DataFrame:
-    """Flat adverse-event files, all stacked."""
-    return read_csv(
-        spark, f"{folder}/{EVENT_FILES}", schemas.EVENT_FLAT, multiline=True
-    )
+def read_event_csv(
+    spark: SparkSession, folder: str, multiline: bool = False, skip_unknown: bool = False
+) -> DataFrame:
+    """Flat adverse-event files, all stacked.
+
+    They are large and are split between tasks, so a record is one line, as
+    ``sinks.write_events`` writes it; ``multiline`` reads files from elsewhere
+    whose values hold line breaks.
+    """
+    path = f"{folder}/{EVENT_FILES}"
+    return read_csv(spark, path, schemas.EVENT_FLAT, multiline, skip_unknown)
 
 
 def read_recall_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -123,7 +212,7 @@ def read_landed(
     record: T.StructType,
     member: str = "results",
 ) -> DataFrame:
-    """Records of landed responses, one row each, with file name and position.
+    """Records of landed responses, one row each, with ``source_file`` and ``source_pos``.
 
     A response is one JSON document and so one task; land large exports as JSON
     lines and read them with ``read_landed_lines``.
@@ -132,14 +221,46 @@ def read_landed(
         spark.read.schema(schemas.envelope(member, record))
         .option("multiLine", True)
         .json(path)
-        .select(F.col("_metadata.file_name").alias("source_name"), member)
+        .select(F.col("_metadata.file_path").alias("source_file"), member)
     )
     return flatten.explode_reports(landed, member)
 
 
 def read_landed_lines(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
-    """Records landed one per line; files are split between tasks."""
-    return spark.read.schema(record).json(path)
+    """Records landed one per line, with the same two columns; files are split between tasks.
+
+    ``source_pos`` rises with the lines of a file: the start of the file's split, plus the
+    row's number in its task. A later split starts further on than an earlier one has rows.
+    The order is the same however the files are split; the numbers are not.
+    """
+    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    lines = spark.read.schema(record).json(path)
+    return lines.select(
+        F.col("_metadata.file_path").alias("source_file"),
+        (F.col("_metadata.file_block_start") + in_task).alias("source_pos"),
+        *[clean.quoted(name) for name in record.names],
+    )
+
+
+def trial_lists(trials: DataFrame) -> DataFrame:
+    """Trials read as ``schemas.LANDED_TRIAL``: lists that may have landed as plain text."""
+    section = F.col("protocolSection")
+    for module, field in (("conditionsModule", "conditions"), ("designModule", "phases")):
+        section = section.withField(
+            f"{module}.{field}", nested.list_or_scalar(F.col(f"protocolSection.{module}.{field}"))
+        )
+    return trials.withColumn("protocolSection", section)
+
+
+def read_label_listings(spark: SparkSession, path: str) -> DataFrame:
+    """Landed label listings, in folders ``drug=<search term>``, as ``schemas.DRUG_LABEL``.
+
+    A listing names no drug: what was searched for is in its folder's name.
+    """
+    landed = read_landed(spark, path, schemas.record(setid=schemas.TEXT), "data")
+    term = F.regexp_extract("source_file", r"/drug=([^/]+)/", 1)
+    plain = F.url_decode(F.replace(term, F.lit("+"), F.lit("%2B")))
+    return landed.withColumn("drug_name", F.nullif(plain, F.lit("")))
 
 
 def list_documents(spark: SparkSession, folder: str) -> DataFrame:

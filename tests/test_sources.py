@@ -95,7 +95,7 @@ def test_nested_reports_from_json_to_csv_and_back(spark, tmp_path):
     (source / "events.json").write_text(json.dumps({"meta": {}, "results": reports}, indent=1))
     landed = readers.read_landed(spark, str(source), schemas.EVENT_REPORT)
     assert sorted(r.source_pos for r in landed.collect()) == [0, 1]
-    assert landed.first().source_name == "events.json"
+    assert landed.first().source_file.endswith("/events.json")
     target = str(tmp_path / "drug-event-out.csv")
     sinks.write_events(flatten.flatten_adverse_events(landed), target)
     back = {r.safetyreportid: r for r in readers.read_event_csv(spark, str(tmp_path)).collect()}
@@ -110,6 +110,79 @@ def test_json_lines(spark, tmp_path):
     rows = readers.read_landed_lines(spark, str(tmp_path), schemas.CLINICAL_TRIAL)
     assert rows.count() == 2
     assert rows.filter("protocolSection.identificationModule.nctId = 'N1'").count() == 1
+    assert rows.filter("source_file LIKE '%/trials.json'").count() == 2
+
+
+def test_positions_of_json_lines_rise_with_the_lines(spark, tmp_path):
+    for name, first in (("a", 0), ("b", 5000)):
+        lines = "".join(f'{{"setid": "{first + i:06}"}}\n' for i in range(5000))
+        (tmp_path / f"{name}.json").write_text(lines)
+    small = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        landed = readers.read_landed_lines(
+            spark, str(tmp_path), schemas.record(setid=schemas.TEXT)
+        )
+        assert landed.rdd.getNumPartitions() > 4
+        rows = landed.orderBy("source_file", "source_pos").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", small)
+    assert [r.setid for r in rows] == [f"{i:06}" for i in range(10000)]
+
+
+def test_lists_that_landed_as_text(spark, tmp_path):
+    sections = [
+        '{"conditionsModule": {"conditions": "Asthma"}, "designModule": {"phases": ["P1", "P2"]}}',
+        '{"conditionsModule": {"conditions": ["A, b", "C"]}}',
+        "{}",
+    ]
+    lines = [f'{{"protocolSection": {s}}}' for s in sections] + ["{}"]
+    (tmp_path / "t.json").write_text("\n".join(lines))
+    landed = readers.read_landed_lines(spark, str(tmp_path), schemas.LANDED_TRIAL)
+    trials = readers.trial_lists(landed).orderBy("source_pos")
+    assert trials.schema["protocolSection"].dataType == (
+        schemas.CLINICAL_TRIAL["protocolSection"].dataType
+    )
+    section = "protocolSection"
+    rows = trials.select(
+        f"{section}.conditionsModule.conditions", f"{section}.designModule.phases"
+    ).collect()
+    assert [tuple(r) for r in rows] == [
+        (["Asthma"], ["P1", "P2"]),
+        (["A, b", "C"], None),
+        (None, None),
+        (None, None),
+    ]
+
+
+def test_the_drug_of_a_label_listing_is_its_search_term(spark, tmp_path):
+    for term in ("warfarin", "calcium salt+"):
+        folder = tmp_path / f"drug={term}"
+        folder.mkdir()
+        (folder / "page1.json").write_text('{"data": [{"setid": "s1"}, {"setid": "s2"}]}')
+    labels = readers.read_label_listings(spark, f"{tmp_path}/*/*.json")
+    assert sorted((r.drug_name, r.source_pos, r.setid) for r in labels.collect()) == [
+        ("calcium salt+", 0, "s1"),
+        ("calcium salt+", 1, "s2"),
+        ("warfarin", 0, "s1"),
+        ("warfarin", 1, "s2"),
+    ]
+
+
+def test_columns_are_read_by_name(spark, tmp_path):
+    kind = schemas.record(a=schemas.TEXT, n=schemas.WHOLE, c=schemas.TEXT)
+    (tmp_path / "x1.csv").write_text("\ufeffc, n ,a\nC,1,A\n", encoding="utf-8")
+    (tmp_path / "x2.csv").write_text("n,other,n\n2,zz,9\n")
+    (tmp_path / "x3.csv").write_text("")
+    path = f"{tmp_path}/x*.csv"
+    rows = readers.read_csv(spark, path, kind).orderBy("n").collect()
+    assert [tuple(r) for r in rows] == [("A", 1, "C"), (None, 2, None)]
+    (tmp_path / "x4.csv").write_text("p,q\n1,2\n")
+    with pytest.raises(readers.UnknownLayout, match="x4.csv"):
+        readers.read_csv(spark, path, kind)
+    assert readers.read_csv(spark, path, kind, skip_unknown=True).count() == 2
+    assert [f[-6:] for f in readers.csv_layouts(spark, path, kind)[1]] == ["x4.csv"]
+    assert readers.read_csv(spark, f"{tmp_path}/none*.csv", kind).count() == 0
 
 
 def test_key_state(spark, tmp_path):
