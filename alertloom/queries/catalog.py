@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from alertloom import schemas
 from alertloom.fixed import documents as fixed_documents
 from alertloom.functions import codes, dates, nested, seeded, text
 from alertloom.operators import (
@@ -28,7 +29,8 @@ from alertloom.plans import harvest as harvest_plan
 from alertloom.queries import inputs
 from alertloom.queries.backends import backend_factory
 from alertloom.queries.inputs import AS_OF, SEED, table
-from alertloom.session import settle
+from alertloom.session import scratch_path, settle
+from alertloom.sources import readers, sinks
 from alertloom.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -752,6 +754,130 @@ def corpus_fields(spark, folder):
     )
 
 
+# --- files: what is written is read again ------------------------------------
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, name)
+
+
+@query
+def csv_roundtrip(spark, folder):
+    """Event files of two layouts, with their columns in other orders, and a strange file."""
+    path = _folder(spark, "csv")
+    flat = flatten.flatten_adverse_events(inputs.reports(spark, folder))
+    backwards = list(reversed(flat.columns))
+    fewer = sorted(c for c in flat.columns if c != "drugindication")
+    known = F.col("occurcountry").isNotNull()
+    sinks.write_csv(flat.filter(known), f"{path}/drug-event-1.csv", backwards)
+    sinks.write_csv(flat.filter(~known), f"{path}/drug-event-2.csv", fewer)
+    regions = table(spark, folder, "region")
+    sinks.write_csv(regions, f"{path}/drug-event-3.csv", regions.columns)
+    return readers.read_event_csv(spark, path, skip_unknown=True)
+
+
+@query
+def landed_lines(spark, folder):
+    """Reports landed as JSON lines, flattened."""
+    path = _folder(spark, "lines")
+    inputs.reports(spark, folder).drop("source_pos").write.json(path)
+    landed = readers.read_landed_lines(spark, path, schemas.EVENT_REPORT)
+    return flatten.flatten_adverse_events(landed)
+
+
+RESPONSE_RECORDS = 200
+
+
+@query
+def landed_responses(spark, folder):
+    """Recalls landed in responses, one file each, with their position there."""
+    path = _folder(spark, "responses")
+    recalls = inputs.recalls(spark, folder)
+    page = F.floor(F.col("source_pos") / RESPONSE_RECORDS).alias("page")
+    record = F.struct("source_pos", *schemas.DEVICE_RECALL.names)
+    responses = recalls.groupBy(page).agg(F.sort_array(F.collect_list(record)).alias("results"))
+    responses.select("results").write.option("maxRecordsPerFile", 1).json(path)
+    landed = readers.read_landed(spark, path, schemas.DEVICE_RECALL)
+    return landed.withColumn("source_pos", F.col("source_pos").cast("bigint")).drop("source_file")
+
+
+@query
+def newest_records(spark, folder):
+    """Two record files; the newer one by the time in its name is read."""
+    path = _folder(spark, "records")
+    records = normalize.normalize_recalls(inputs.recalls(spark, folder), AS_OF)
+    sinks.write_records(records, f"{path}/clinical_ground_truth_2025-02-01_000000.csv")
+    older = records.filter(F.col("risk_level") == "High")
+    sinks.write_records(older, f"{path}/clinical_ground_truth_2025-01-01_000000.csv")
+    return readers.read_records(spark, path)
+
+
+@query
+def key_state_files(spark, folder):
+    """Keys added to the state by two runs that overlap."""
+    path = _folder(spark, "seen")
+    feed = inputs.feed(spark, folder)
+    sinks.append_seen(_seen(feed), path)
+    sinks.append_seen(feed, path)
+    return readers.read_seen(spark, path)
+
+
+@query
+def table_writes(spark, folder):
+    """A table replaced by itself, then appended to, then given the keys it lacks."""
+    path = f"{_folder(spark, 'tables')}/orders"
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+
+    def step(name: str, third: int | None = None) -> DataFrame:
+        chosen = orders if third is None else orders.filter(F.col("o_orderkey") % 3 == third)
+        return chosen.withColumn("step", F.lit(name))
+
+    sinks.replace_table(step("first", 0), path)
+    sinks.replace_table(step("replaced", 0), path)
+    sinks.append_table(step("appended", 1), path)
+    sinks.append_new(step("new"), path, "o_orderkey")
+    return readers.read_table(spark, path)
+
+
+@query
+def file_listing(spark, folder):
+    """Bytes of the files of each folder, from the listing."""
+    path = _folder(spark, "files")
+    pages = table(spark, folder, "pages").filter(F.col("html").isNotNull())
+    pages.select("html", (F.col("page_id") % 4).alias("part")).write.partitionBy("part").text(path)
+    listed = readers.list_documents(spark, path)
+    return listed.groupBy(F.substring_index("relative_path", "/", 1).alias("part")).agg(
+        F.sum("length").alias("bytes")
+    )
+
+
+@query
+def row_audits(spark, folder):
+    """Rows counted while tables are written, beside those that are read back."""
+    path = _folder(spark, "audits")
+    counts = []
+    for name in ("orders", "lineitem"):
+        audited, observation = quality.audited(table(spark, folder, name), name)
+        sinks.replace_table(audited, f"{path}/{name}")
+        written = readers.read_table(spark, f"{path}/{name}")
+        counts.append(
+            written.agg(
+                F.lit(name).alias("table_name"),
+                F.lit(observation.get["rows"]).cast("bigint").alias("audited"),
+                F.count(F.lit(1)).alias("written"),
+            )
+        )
+    return counts[0].unionByName(counts[1])
+
+
+@query
+def corpus_table(spark, folder):
+    """The corpus as it is stored."""
+    path = _folder(spark, "corpus")
+    sinks.write_corpus(_documents(spark, folder), path)
+    return readers.read_table(spark, path)
+
+
 # --- generation --------------------------------------------------------------
 
 

@@ -907,6 +907,54 @@ oracle(
     "strpos(split_part(text, chr(10), 1), ':') + 1)) AS subject FROM t",
 )
 
+# --- files -------------------------------------------------------------------
+
+EVENT_KINDS = {"serious": "BIGINT", "patientonsetage": "DOUBLE"}
+EVENT_CELLS = {
+    c: f"CAST(nullif(CAST({c} AS VARCHAR), '') AS {EVENT_KINDS.get(c, 'VARCHAR')})"
+    for c in codes.EVENT_FIELDS
+}
+EVENT_CELLS["drugindication"] = (
+    f"CASE WHEN occurcountry IS NOT NULL THEN {EVENT_CELLS['drugindication']} END"
+)
+oracle(
+    "csv_roundtrip",
+    f"SELECT {', '.join(f'{sql} AS {c}' for c, sql in EVENT_CELLS.items())} "
+    f"FROM ({ORACLE['adverse_flatten']}) f",
+)
+oracle("landed_lines", ORACLE["adverse_flatten"])
+oracle(
+    "landed_responses",
+    f"{RCL} SELECT recall_number, product_description, reason_for_recall, classification, "
+    "recalling_firm, recall_initiation_date, root_cause_description, "
+    "row_number() OVER (PARTITION BY source_pos // 200 ORDER BY source_pos) - 1 "
+    "AS source_pos FROM rcl",
+)
+RECORD_CELLS = ", ".join(
+    f"CAST(nullif(CAST({c} AS VARCHAR), '') AS "
+    f"{'BIGINT' if c == 'adverse_event_count' else 'VARCHAR'}) AS {c}"
+    for c in codes.RECORD_FIELDS
+)
+oracle("newest_records", f"SELECT {RECORD_CELLS} FROM ({ORACLE['normalize_recalls']}) r")
+oracle("key_state_files", ORACLE["seen_state"])
+oracle(
+    "table_writes",
+    "SELECT o_orderkey, o_custkey, (['replaced', 'appended', 'new'])[1 + o_orderkey % 3] "
+    "AS step FROM orders",
+)
+oracle(
+    "file_listing",
+    "SELECT 'part=' || page_id % 4 AS part, "
+    "CAST(sum(octet_length(encode(html)) + 1) AS BIGINT) AS bytes "
+    "FROM pages WHERE html IS NOT NULL GROUP BY 1",
+)
+oracle(
+    "row_audits",
+    "SELECT 'orders' AS table_name, count(*) AS audited, count(*) AS written FROM orders "
+    "UNION ALL SELECT 'lineitem', count(*), count(*) FROM lineitem",
+)
+oracle("corpus_table", f"SELECT file_name, template, text FROM ({ORACLE['corpus_documents']}) c")
+
 # --- generation --------------------------------------------------------------
 
 

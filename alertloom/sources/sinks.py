@@ -34,6 +34,8 @@ def write_csv(df: DataFrame, path: str, fields: Sequence[str]) -> None:
         .write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("emptyValue", "")
         .option("nullValue", "")
         .csv(path)
