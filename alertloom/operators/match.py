@@ -27,8 +27,9 @@ def affected_documents(
     """Pairs of entity and document whose text holds the entity's words in a row.
 
     An equi-join on phrases of one to three words: every word of a document
-    starts three of them, an entity gives its leading words. Documents that hold
-    the beginning of a longer entity are then checked against the whole of it.
+    starts three of them, each kept once per document, and an entity gives its
+    leading words. The pairs found, which are few, then meet the documents once
+    more, where entities of more words are held against the whole text.
     """
     named = (
         entities.select(entity)
@@ -45,28 +46,19 @@ def affected_documents(
     starts = F.array(
         *[F.substring_index(run, " ", n) for n in range(1, PHRASE_WORDS)], run
     )
+    runs = F.regexp_extract_all(plain_words(F.col(body)), F.lit(RUN), 1)
     offered = documents.select(
-        document_id,
-        F.explode(
-            F.regexp_extract_all(plain_words(F.col(body)), F.lit(RUN), 1)
-        ).alias("_run"),
+        document_id, F.explode(F.array_distinct(runs)).alias("_run")
     ).select(document_id, F.explode(starts).alias("_phrase"))
-    found = (
-        offered.join(wanted, "_phrase")
-        .select(entity, document_id, (F.col("_phrase") == F.col("_whole")).alias("_done"), "_whole")
-        .distinct()
-    )
-    longer = found.filter(~F.col("_done")).join(
-        documents.select(document_id, body), document_id
-    )
+    found = offered.join(wanted, "_phrase").select(entity, document_id, "_phrase", "_whole").distinct()
     held = F.contains(
         F.concat(F.lit(" "), plain_words(F.col(body)), F.lit(" ")),
         F.concat(F.lit(" "), F.col("_whole"), F.lit(" ")),
     )
     return (
-        found.filter("_done")
+        found.join(documents.select(document_id, body), document_id)
+        .filter((F.col("_phrase") == F.col("_whole")) | held)
         .select(entity, document_id)
-        .unionByName(longer.filter(held).select(entity, document_id))
     )
 
 
@@ -120,17 +112,18 @@ def vector_topk(
     The query vector is a scalar subquery, so the table is scanned, not joined,
     and each task keeps its own best k.
     """
-    query = (
-        vectors.filter(F.col(vector_id) == query_id).select(embedding).limit(1).scalar()
-    )
     own = F.col(embedding)
-    norm = F.sqrt(_dot(own, own)) * F.sqrt(_dot(F.col("_query"), F.col("_query")))
+    wanted = vectors.filter(F.col(vector_id) == query_id).limit(1)
+    query = wanted.select(embedding).scalar()
+    length = wanted.select(F.sqrt(_dot(own, own))).scalar()
     scored = (
         vectors.filter(F.col(vector_id) != query_id)
-        .withColumn("_query", query)
+        .withColumns({"_query": query, "_length": length})
         .select(
             vector_id,
-            F.try_divide(_dot(own, F.col("_query")), norm).alias("similarity"),
+            F.try_divide(
+                _dot(own, F.col("_query")), F.sqrt(_dot(own, own)) * F.col("_length")
+            ).alias("similarity"),
         )
     )
     return scored.orderBy(

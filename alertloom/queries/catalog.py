@@ -1015,16 +1015,21 @@ def stream_to_table(spark, folder):
 
 @query
 def affected_documents(spark, folder):
-    """Opening words of benchmark passages, of two lengths, found in documents."""
+    """Benchmark passages, their opening words and part names, found in documents."""
     opening = match.plain_words(F.col("text"))
     probes = table(spark, folder, "benchmark").select(
         F.explode(
             F.array(
                 F.substring_index(opening, " ", 2),
                 F.substring_index(opening, " ", 6),
+                opening,
             )
         ).alias("clinical_entity")
     )
+    names = table(spark, folder, "part").select(
+        match.plain_words(F.col("p_name")).alias("clinical_entity")
+    )
+    probes = probes.unionByName(names)
     return match.affected_documents(probes, table(spark, folder, "documents"))
 
 

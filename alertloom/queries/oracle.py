@@ -1073,8 +1073,9 @@ WORDS = r"string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', '
 oracle(
     "affected_documents",
     f"WITH b AS (SELECT {WORDS} AS w FROM benchmark), "
-    "e AS (SELECT DISTINCT array_to_string(w[1:n], ' ') AS clinical_entity "
-    "FROM b, (VALUES (2), (6)) v(n)), "
+    "e AS (SELECT array_to_string(w[1:n], ' ') AS clinical_entity "
+    "FROM b, (VALUES (2), (6), (1000000)) v(n) UNION "
+    f"SELECT array_to_string({WORDS.replace('lower(text)', 'lower(p_name)')}, ' ') FROM part), "
     f"d AS (SELECT doc_id, ' ' || array_to_string({WORDS}, ' ') || ' ' AS body "
     "FROM documents) SELECT clinical_entity, doc_id FROM e JOIN d "
     "ON contains(body, ' ' || clinical_entity || ' ')",
