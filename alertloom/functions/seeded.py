@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 SEPARATOR = "|"
 NULL_KEY = "~"
+DIGEST_DIGITS = 32
 
 
 def key_text(*keys: Column) -> Column:

@@ -8,15 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alertloom.functions import seeded
-from alertloom.operators import harvest
 from alertloom.operators.clean import quoted
 
-# One task merges the best n rows of every other task. That is fine for a few
-# rows, is done in two steps up to a thousand, and by a histogram above.
-ONE_STEP_LIMIT = 64
-TWO_STEP_LIMIT = 1000
-MERGE_GROUPS = 256
-PREFIX_DIGITS = 4
+HEX_DIGITS = 4  # of the hash, per round of counting: 65,536 counts at most
+CUT_ROWS = 1000
 
 
 def latest(df: DataFrame, when: Column, ties: Sequence[Column], n: int = 1) -> DataFrame:
@@ -24,9 +19,16 @@ def latest(df: DataFrame, when: Column, ties: Sequence[Column], n: int = 1) -> D
     return df.orderBy(F.desc_nulls_last(when), *ties).limit(n)
 
 
+def _hashed(df: DataFrame, keys: Sequence[str], seed: int | str) -> DataFrame:
+    """With the seeded hash of the key, followed by that of all columns to settle ties."""
+    by_key = seeded.digest(*[quoted(k) for k in keys], seed=seed)
+    by_row = seeded.digest(*[quoted(c) for c in df.columns], seed=seed)
+    return df.withColumn("_hash", F.concat(by_key, by_row))
+
+
 def pick_one(df: DataFrame, keys: Sequence[str], seed: int | str) -> DataFrame:
-    """One row, chosen by seeded hash of its key."""
-    return sample_exact(df, 1, keys, seed)
+    """One row, chosen by seeded hash of its key: one candidate per task."""
+    return _hashed(df, keys, seed).orderBy("_hash").limit(1).drop("_hash")
 
 
 def sample_exact(
@@ -34,50 +36,31 @@ def sample_exact(
 ) -> DataFrame:
     """Exactly n rows, or all of them if there are no more than n.
 
-    Rows are ordered by the seeded hash of their key; ties go by all columns.
-    The key should tell rows apart, or copies of one key stay together.
-    """
-    hashed = df.withColumn("_hash", seeded.digest(*[quoted(k) for k in keys], seed=seed))
-    order = [F.col("_hash"), *[quoted(c) for c in df.columns]]
-    if n <= ONE_STEP_LIMIT:
-        chosen = hashed.orderBy(*order).limit(n)
-    elif n <= TWO_STEP_LIMIT:
-        chosen = _top_in_two_steps(hashed, n, order)
-    else:
-        chosen = _sample_by_histogram(hashed, n, order)
-    return chosen.drop("_hash")
-
-
-def _top_in_two_steps(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
-    """The first n rows of each group of tasks, then the first n of those.
-
-    Which tasks form a group does not matter for the result.
-    """
-    grouped = df.withColumn("_group", F.spark_partition_id() % MERGE_GROUPS)
-    return (
-        harvest.cap_per_group(grouped, ["_group"], order, n)
-        .drop("_group")
-        .orderBy(*order)
-        .limit(n)
-    )
-
-
-def _sample_by_histogram(hashed: DataFrame, n: int, order: list[Column]) -> DataFrame:
-    """Take whole hash ranges below the cut, and the first rows of the one at the cut.
-
-    The histogram has a fixed number of buckets whatever the table's size, and
-    counts are combined before the shuffle. It is computed at once.
+    The n rows with the least hashes are taken. Rows are counted by the leading
+    digits of the hash, then again inside the bucket that holds the cut, by further
+    digits, until that bucket is small: only its rows are sorted, whatever the
+    size of the table or of n. Each round of counts is computed at once and is
+    bounded. The key should tell rows apart, or copies of one key stay together.
     """
-    bucket = F.substring("_hash", 1, PREFIX_DIGITS)
-    counts = hashed.groupBy(bucket.alias("bucket")).count().orderBy("bucket")
-    taken, cut = 0, None
-    for row in counts.collect():
-        if taken + row["count"] > n:
-            cut = row["bucket"]
+    hashed = _hashed(df, keys, seed)
+    left, cut = n, ""
+    while True:
+        digits = len(cut) + HEX_DIGITS
+        bucket = F.substring("_hash", 1, digits)
+        inside = hashed.filter(F.startswith("_hash", F.lit(cut)))
+        counts = inside.groupBy(bucket.alias("bucket")).count().orderBy("bucket").collect()
+        rows_at_cut = None
+        for row in counts:
+            if row["count"] > left:
+                cut, rows_at_cut = row["bucket"], row["count"]
+                break
+            left -= row["count"]
+        if rows_at_cut is None:
+            return df
+        if left == 0 or rows_at_cut <= CUT_ROWS or digits == 2 * seeded.DIGEST_DIGITS:
             break
-        taken += row["count"]
-    if cut is None:
-        return hashed
-    below = hashed.filter(bucket < F.lit(cut))
-    at_cut = hashed.filter(bucket == F.lit(cut)).orderBy(*order).limit(n - taken)
-    return below.unionByName(at_cut)
+    chosen = hashed.filter(F.col("_hash") < F.lit(cut))
+    if left:
+        at_cut = hashed.filter(F.startswith("_hash", F.lit(cut)))
+        chosen = chosen.unionByName(at_cut.orderBy("_hash").limit(left))
+    return chosen.drop("_hash")

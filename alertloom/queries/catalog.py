@@ -612,6 +612,13 @@ def sample_exact_n(spark, folder):
     return sample.sample_exact(orders, 1000, ["o_orderkey"], SEED)
 
 
+@query
+def sample_exact_large(spark, folder):
+    """Three thousand line items, on a key of two columns."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return sample.sample_exact(lines, 3000, ["l_orderkey", "l_linenumber"], SEED)
+
+
 def _landed(spark: SparkSession, folder: str) -> harvest_plan.Landed:
     return harvest_plan.Landed(
         labels=inputs.labels(spark, folder),

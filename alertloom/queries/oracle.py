@@ -703,6 +703,14 @@ oracle(
 )
 
 
+oracle(
+    "sample_exact_large",
+    "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem ORDER BY "
+    f"{digest('l_orderkey', 'l_linenumber', seed=SEED)}, "
+    f"{digest('l_orderkey', 'l_linenumber', 'l_partkey', seed=SEED)} LIMIT 3000",
+)
+
+
 # Of each source: matched records, key, cap, records, and whether there is a key.
 SOURCES = (
     ("labels", MATCHED_LABELS, LABEL_URL, records.LABEL_CAP, label_records, "setid IS NOT NULL"),

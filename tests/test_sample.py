@@ -24,12 +24,23 @@ def test_all_ways_give_the_same_rows(spark):
         assert sorted(got) == sorted(ranked(range(5000), 3)[:n])
 
 
-def test_histogram_gives_the_same_rows(spark, monkeypatch):
-    monkeypatch.setattr(sample, "TWO_STEP_LIMIT", 100)
+def test_the_bucket_of_the_cut_is_counted_again(spark, monkeypatch):
+    monkeypatch.setattr(sample, "HEX_DIGITS", 1)
+    monkeypatch.setattr(sample, "CUT_ROWS", 2)
     df = spark.range(3000)
-    got = [r.id for r in sample.sample_exact(df, 777, ["id"], 7).collect()]
-    assert sorted(got) == sorted(ranked(range(3000), 7)[:777])
+    for n in (0, 1, 777, 2999):
+        got = [r.id for r in sample.sample_exact(df, n, ["id"], 7).collect()]
+        assert sorted(got) == sorted(ranked(range(3000), 7)[:n])
     assert sample.sample_exact(df, 5000, ["id"], 7).count() == 3000
+    assert sample.sample_exact(df.filter("id < 0"), 5, ["id"], 7).count() == 0
+
+
+def test_copies_and_nulls_are_counted_one_by_one(spark, monkeypatch):
+    monkeypatch.setattr(sample, "CUT_ROWS", 2)
+    rows = [(None, "a")] * 40 + [(1, None)] * 40 + [(i, "b") for i in range(20)]
+    df = spark.createDataFrame(rows, "k INT, v STRING")
+    for n in (10, 45, 90):
+        assert sample.sample_exact(df, n, ["k"]).count() == n
 
 
 def test_latest_puts_missing_dates_last(spark):
