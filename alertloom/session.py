@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+# Paths of settled tables by application, for their removal.
+SETTLED: dict[str, list[str]] = {}
 
 # Query settings that hold at any size. Partition counts, memory and executors
 # belong to the cluster and are left to it. The JVM never compiles methods above
@@ -20,6 +22,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
@@ -58,12 +63,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table, once nothing reads it any more; nothing outside the shared folder."""
+    if not path.startswith(f"{shared_folder(spark)}/"):
+        raise ValueError(f"{path} is not a scratch table")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard_settled(spark: SparkSession) -> int:
+    """Delete all tables this application has settled, at the end of a job; how many there were."""
+    paths = SETTLED.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        discard(spark, path)
+    return len(paths)
+
+
 def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     """Compute once, as a table in the shared folder, and read it back.
 
     The lineage ends there, the storage outlives executors, and the size of the
-    table is known, so later joins can be planned by it.
+    table is known, so later joins can be planned by it. The table stays until
+    ``discard_settled``, as frames that read it may live on.
     """
     path = scratch_path(df.sparkSession, name)
+    SETTLED.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

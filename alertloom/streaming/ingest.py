@@ -15,6 +15,9 @@ from alertloom.sources import readers
 
 KEY = "source_url"
 SALTS = 8
+# Folders of the key table, by hash of the key; a batch reads those of its own keys.
+KEY_PARTS = 256
+PART = "part"
 
 
 def read_landed_stream(
@@ -31,6 +34,20 @@ def read_landed_stream(
     return reader.parquet(folder)
 
 
+def read_lines_stream(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    pattern: str = "*.json",
+    files_per_batch: int | None = None,
+) -> DataFrame:
+    """JSON lines as they land, with the name of their file."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.json(folder).withColumn("source_file", F.col("_metadata.file_path"))
+
+
 def new_records(
     stream: DataFrame,
     key: str = KEY,
@@ -38,7 +55,7 @@ def new_records(
     salts: int = SALTS,
     salt_on: Column | None = None,
 ) -> DataFrame:
-    """First record of each key.
+    """One record of each key, whichever arrives first.
 
     A streaming dedup has no combine before its shuffle, so copies of one key
     would all reach one task. Copies are first spread over ``salts`` tasks per
@@ -46,7 +63,8 @@ def new_records(
 
     Without ``within`` the key state grows with the number of keys. With
     ``(time column, delay)`` it is bounded: a copy that comes later than the
-    delay after the first counts as new.
+    delay after the first counts as new. That is the form for large feeds. Either
+    state belongs in RocksDB, which ``build_session`` sets, not in the JVM's heap.
     """
     salt = F.pmod(salt_on if salt_on is not None else F.xxhash64("*"), F.lit(salts))
     salted = stream.withColumn("_salt", salt)
@@ -76,6 +94,20 @@ def run_to_table(stream: DataFrame, path: str, state: str) -> StreamingQuery:
     return query
 
 
+def key_part(key: str) -> Column:
+    """The folder of the key table that a key belongs to."""
+    return F.pmod(F.xxhash64(key), F.lit(KEY_PARTS)).cast("int")
+
+
+def seen_by_batch(batch: DataFrame, batch_id: int, keys: str, key: str) -> DataFrame:
+    """Keys of earlier batches, from the folders that the batch's own keys fall in."""
+    parts = [r[0] for r in batch.select(key_part(key)).distinct().collect()]
+    columns = [batch.schema[key], T.StructField(PART, T.IntegerType())]
+    schema = T.StructType([*columns, T.StructField("batch", T.LongType())])
+    seen = batch.sparkSession.read.schema(schema).parquet(keys)
+    return seen.filter(F.col(PART).isin(parts) & (F.col("batch") < batch_id)).select(key)
+
+
 def write_new(
     batch: DataFrame,
     batch_id: int,
@@ -86,18 +118,24 @@ def write_new(
 ) -> None:
     """One micro-batch: first per key, not seen in earlier batches, data then keys.
 
-    Each batch writes its own folder, replaced when the batch is retried. Keys of
-    the same batch left by a failed attempt do not count as seen.
+    A retried batch replaces its own data folder and its own part of each key folder;
+    keys that a failed attempt left do not count as seen.
     """
     spark = batch.sparkSession
     firsts = harvest.first_wins(batch, order, key)
     if readers.path_exists(spark, keys):
-        seen = spark.read.parquet(keys).filter(F.col("batch") < batch_id)
-        firsts = harvest.new_only(firsts, seen, key)
+        firsts = harvest.new_only(firsts, seen_by_batch(batch, batch_id, keys, key), key)
     target = f"{data}/batch={batch_id}"
     firsts.select(*batch.columns).write.mode("overwrite").parquet(target)
     written = spark.read.schema(batch.schema).parquet(target)
-    written.select(key).write.mode("overwrite").parquet(f"{keys}/batch={batch_id}")
+    (
+        written.select(key, key_part(key).alias(PART), F.lit(batch_id).alias("batch"))
+        .repartition(PART)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(PART, "batch")
+        .parquet(keys)
+    )
 
 
 def stream_to_table(

@@ -1,8 +1,11 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
+from alertloom import session
 from alertloom.operators import harvest
+from alertloom.sources import readers
 from alertloom.streaming import ingest
 
 SCHEMA = "source_url STRING, pos INT, at TIMESTAMP"
@@ -61,3 +64,41 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path):
         ingest.write_new(batch, number, data, keys, "source_url", [F.col("pos")])
     rows = spark.read.parquet(data).collect()
     assert sorted((r.source_url, r.pos) for r in rows) == [("a", 1), ("b", 2), ("c", 4)]
+
+
+def test_a_batch_reads_only_the_key_folders_of_its_keys(spark, tmp_path):
+    data, keys = str(tmp_path / "data"), str(tmp_path / "keys")
+    many = spark.createDataFrame([row(f"k{i}", i) for i in range(500)], SCHEMA)
+    ingest.write_new(many, 0, data, keys, "source_url", [F.col("pos")])
+    few = spark.createDataFrame([row("k7", 1), row("new", 2)], SCHEMA)
+    parts = {r[0] for r in few.select(ingest.key_part("source_url")).collect()}
+    seen = ingest.seen_by_batch(few, 1, keys, "source_url")
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" in plan and "+- *(1) Filter" not in plan  # folders are chosen by the scan
+    files = seen.select(F.col("_metadata.file_path")).distinct().collect()
+    assert {int(r[0].split("part=")[1].split("/")[0]) for r in files} <= parts
+    ingest.write_new(few, 1, data, keys, "source_url", [F.col("pos")])
+    assert spark.read.parquet(f"{data}/batch=1").count() == 1
+
+
+def test_json_lines_as_a_stream(spark, tmp_path):
+    landed, out, state = (str(tmp_path / n) for n in ("landed", "out", "state"))
+    for key in "ab":
+        rows = spark.createDataFrame([(key, 1), (key, 2)], "source_url STRING, pos INT")
+        rows.write.mode("append").json(landed)
+    schema = rows.schema
+    lines = ingest.read_lines_stream(spark, landed, schema, files_per_batch=1)
+    ingest.run_to_table(ingest.new_records(lines, salt_on=F.xxhash64("pos")), out, state)
+    got = spark.read.parquet(out).collect()
+    assert sorted(r.source_url for r in got) == ["a", "b"]
+    assert all(r.source_file.endswith(".json") for r in got)
+
+
+def test_settled_tables_can_be_discarded(spark):
+    first = session.settle(spark.range(5), "kept")
+    path = first.inputFiles()[0].rsplit("/", 1)[0]
+    assert readers.path_exists(spark, path)
+    assert session.discard_settled(spark) >= 1
+    assert not readers.path_exists(spark, path)
+    with pytest.raises(ValueError):
+        session.discard(spark, "/elsewhere/table")
