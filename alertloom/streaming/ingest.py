@@ -16,7 +16,7 @@ from alertloom.sources import readers
 KEY = "source_url"
 SALTS = 8
 # Folders of the key table, by hash of the key; a batch reads those of its own keys.
-KEY_PARTS = 256
+KEY_PARTS = 32
 PART = "part"
 
 
