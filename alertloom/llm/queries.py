@@ -62,7 +62,7 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Each document's text without repeated lines, as a digest, and how many lines went."""
     docs = documents(spark, folder)
     lines = lambda text: F.size(F.split(F.coalesce(text, F.lit("")), "\n", -1)).cast("long")
-    kept = line_dedup.dedup_lines(docs.withColumn("n_lines", lines(F.col("text"))))
+    kept = line_dedup.dedup_lines(docs.withColumn("n_lines", lines(F.col("text"))), distance=None)
     return kept.select(
         "doc_id",
         "n_lines",

@@ -53,6 +53,18 @@ def combine(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix(total)
 
 
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """Weighted sums of the bytes before each place, from which `run_hash` takes the hash of any run."""
+    terms = (data.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(data))
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
+
+
+def run_hash(sums: np.ndarray, start: np.ndarray, length: np.ndarray | int) -> np.ndarray:
+    """A hash of each run of bytes, the same wherever it stands."""
+    span = (sums[start + length] - sums[start]) * _power(_INVERSE, len(sums) - 1)[start]
+    return mix(span + np.asarray(length).astype(np.uint64))
+
+
 class Buffer:
     """Some whole texts: bytes, and their words with document, line and hash."""
 
@@ -86,11 +98,7 @@ class Buffer:
     @cached_property
     def hash(self) -> np.ndarray:
         """A hash of each word."""
-        size = len(self.bytes)
-        terms = (self.bytes.astype(np.uint64) + np.uint64(1)) * _power(_BASE, size)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
-        span = (sums[self.end] - sums[self.start]) * _power(_INVERSE, size)[self.start]
-        return mix(span + (self.end - self.start).astype(np.uint64))
+        return run_hash(prefix_sums(self.bytes), self.start, self.end - self.start)
 
     def points(self) -> np.ndarray:
         """Code points before each byte."""

@@ -380,6 +380,56 @@ def test_lines_are_removed_as_plain_code_does(spark):
         assert got[i].lang == "en" and got[i].n_chars == len(text)
 
 
+@pytest.mark.parametrize("n_words", [10, 30, 60])
+def test_all_lines_of_edit_similarity_are_found_without_simhash(spark, n_words):
+    chance = random.Random(n_words)
+    lines = [prose(chance, n_words).replace("\n", " ").replace(".", "").replace(",", "") for _ in range(60)]
+    for i in range(60):
+        if i % 2:  # one word changed, by as much as similarity allows
+            words = lines[i].split(" ")
+            at = chance.randrange(n_words)
+            words[at] = "x" * min(4, len(lines[i]) // 10) + words[at][min(4, len(words[at])) :]
+            lines.append(" ".join(words))
+        else:  # letters changed all over the line
+            letters = list(lines[i])
+            for _ in range(len(letters) // 14):
+                letters[chance.randrange(1, len(letters) - 1)] = chance.choice("aeioux")
+            lines.append("".join(letters))
+    lines += ["short line 1 ab", "short lime 1 ab", "tiny", "tinx", "ÉÉ ñandú él añ", "ÉÉ ñandu él añ"]
+    forms = [" ".join(x.translate({ord(a): b for a, b in zip(line_dedup._FROM, line_dedup._TO)}).split()) for x in lines]
+    links = [
+        (i, j)
+        for i in range(len(forms))
+        for j in range(i)
+        if line_dedup.edits_within(forms[i], forms[j], line_dedup.allowed_edits(len(forms[i]), len(forms[j]), 0.9))
+    ]
+    roots = plain_components(links)
+    assert sum(r != i for i, r in roots.items()) >= 55
+    got = by_id(line_dedup.dedup_lines(table(spark, lines), distance=None))
+    found = {i for i in range(len(lines)) if got[i].text == ""}
+    wanted = {i for i, r in roots.items() if r != i}
+    assert found <= wanted and len(found) >= 0.98 * len(wanted)
+
+
+def test_shared_grams_are_those_of_all_pairs():
+    chance = random.Random(17)
+    rows = [(chance.randrange(40) if k % 2 else 7, chance.randrange(300), chance.randrange(20, 300)) for k in range(600)]
+    packed = np.array(sorted(k << 28 | p << 14 | s for k, p, s in rows), dtype=np.int64)
+    key, place, size = line_dedup._unpacked(packed)
+    reach = 1.5 * (1 - 0.9) * size / 0.9 + 4
+    wanted = [
+        any(
+            i != j
+            and key[i] == key[j]
+            and abs(place[i] - place[j]) <= (reach[i] if place[i] < place[j] or (place[i] == place[j] and i < j) else reach[j])
+            and abs(size[i] - size[j]) <= max(reach[i], reach[j])
+            for j in range(600)
+        )
+        for i in range(600)
+    ]
+    assert line_dedup.with_near_places(packed, 0.9).tolist() == wanted
+
+
 # --- 7: toxicity --------------------------------------------------------------
 
 
