@@ -14,6 +14,7 @@ import re
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import accumulate
 
 import pyarrow as pa
@@ -52,12 +53,48 @@ NAME_EXCUSES = {"file", "path", "url", "name", "length", "size", "count", "type"
 WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|change.?me|example.*|your.*|none|null|true|false|todo|test|<.*>|\$\{?.*)$")
 SCORE = 4
-MIN_VALUE, MAX_CONSTANTS, MAX_TERMS = 8, 10_000, 64
-
-
-def entropy(value: str) -> float:
+MIN_VALUE = 8
+# Values above this many characters are kept as what their score needs: constants put into
+# constants can be far longer than the text.
+WHOLE = 4096
+
+
+@dataclass(frozen=True)
+class Long:
+    """A long value: its size, how often it has each character, how it begins and ends."""
+
+    size: int
+    counts: Counter
+    head: str
+    tail: str
+
+    def placeholder(self) -> bool:
+        """What PLACEHOLDER says of the whole value, which holds no line break."""
+        alike = {c.lower() for c in self.counts}
+        return (
+            alike in ({"x"}, {"*"}, {"."})
+            or self.head.lower().startswith(("example", "your", "$"))
+            or (self.head[0] == "<" and self.tail == ">")
+        )
+
+
+def _joined(parts: list[str | Long]) -> str | Long:
+    size = sum(len(p) if isinstance(p, str) else p.size for p in parts)
+    if size <= WHOLE:
+        return "".join(parts)
+    counts, head, tail = Counter(), "", ""
+    for part in parts:
+        counts.update(part if isinstance(part, str) else part.counts)
+        if len(head) < MIN_VALUE:
+            head += (part if isinstance(part, str) else part.head)[:MIN_VALUE]
+        tail = (part[-1:] if isinstance(part, str) else part.tail) or tail
+    return Long(size, counts, head, tail)
+
+
+def entropy(value: str | Long) -> float:
     """Bits for each character, by the value's own frequencies."""
-    return -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values()) if value else 0.0
+    counts, size = (Counter(value), len(value)) if isinstance(value, str) else (value.counts, value.size)
+    return -sum(n / size * math.log2(n / size) for n in counts.values()) if size else 0.0
 
 
 def name_score(name: str) -> int:
@@ -66,12 +103,16 @@ def name_score(name: str) -> int:
     return 0 if words & NAME_EXCUSES else sum(NAME_SCORES.get(w, 0) for w in words)
 
 
-def value_score(value: str) -> int:
+def value_score(value: str | Long) -> int:
     """0 for what cannot be a secret; more for length, mixed kinds of character, and entropy."""
-    if len(value) < MIN_VALUE or " " in value or PLACEHOLDER.match(value):
+    if isinstance(value, Long):
+        size, letters, excused = value.size, "".join(value.counts), value.placeholder()
+    else:
+        size, letters, excused = len(value), value, PLACEHOLDER.match(value)
+    if size < MIN_VALUE or " " in letters or excused:
         return 0
-    kinds = sum(bool(re.search(k, value)) for k in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    return 1 + (len(value) >= 16) + (kinds >= 2) + (kinds >= 3) + (entropy(value) >= 3.0)
+    kinds = sum(bool(re.search(k, letters)) for k in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    return 1 + (size >= 16) + (kinds >= 2) + (kinds >= 3) + (entropy(value) >= 3.0)
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -88,10 +129,10 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
-def _value(text: str, at: int, constants: dict[str, str]) -> tuple[str | None, int, int]:
-    """The value of an expression, its end, and how many literals it has; None if unknown."""
-    parts, end, literals, known = [], at, 0, True
-    for _ in range(MAX_TERMS):
+def _value(text: str, at: int, constants: dict[str, str | Long]) -> tuple[str | Long | None, int, int]:
+    """The value of an expression, its end, and how many literals it has; None if unknown, and then read no further."""
+    parts, end, literals = [], at, 0
+    while True:
         term = TERM.match(text, end)
         if not term:
             break
@@ -106,7 +147,7 @@ def _value(text: str, at: int, constants: dict[str, str]) -> tuple[str | None, i
                 parts.append(constants[term["name"]])
                 literals += 1
             elif parts or PLUS.match(text, end):
-                known = False
+                return None, end, literals
             else:
                 parts.append(term["name"])
         elif term["bare"] is not None:
@@ -118,12 +159,12 @@ def _value(text: str, at: int, constants: dict[str, str]) -> tuple[str | None, i
         if not plus or not TERM.match(text, plus.end()):
             break
         end = plus.end()
-    return ("".join(parts) if parts and known else None), end, literals
+    return (_joined(parts) if parts else None), end, literals
 
 
-def assignments(text: str) -> Iterator[tuple[str, str, int, int, int]]:
+def assignments(text: str) -> Iterator[tuple[str, str | Long, int, int, int]]:
     """(name, value, start of the value, its end, literals in it), constants put in."""
-    constants: dict[str, str] = {}
+    constants: dict[str, str | Long] = {}
     at = 0
     while pair := PAIR.search(text, at):
         at = pair.end()
@@ -131,10 +172,7 @@ def assignments(text: str) -> Iterator[tuple[str, str, int, int, int]]:
         if value is None:
             continue
         name = pair["name"]
-        # The oldest names are forgotten first, so that memory stays bounded on any text.
         constants.pop(name, None)
-        if len(constants) >= MAX_CONSTANTS:
-            constants.pop(next(iter(constants)))
         if literals:
             constants[name] = value
         yield name, value, at, end, literals

@@ -324,6 +324,32 @@ def test_secret_spans(spark):
     assert got[4].spans == "" and got[4].base_sha256 == hashlib.sha256(b"").hexdigest()
 
 
+def test_early_constants_and_long_concatenations_are_read_to_the_end():
+    filler = "".join(f'n{i} = "v{i}"\n' for i in range(12_000))
+    text = 'part = "Zq9-xx77"\n' + filler + 'service_password = part + "LmN4pQ"\n'
+    start, end, _ = secret_scan.literal_spans(text)[-1]
+    assert text[start:end] == 'part + "LmN4pQ"'
+    pieces = " + ".join(f'"{c}"' for c in "Zq9-xx77LmN4pQvB" * 10)
+    text = f"client_secret = {pieces}\n"
+    assert secret_scan.literal_spans(text) == [(16, len(text) - 1, "literal")]
+
+
+def test_long_values_score_as_whole_ones(monkeypatch):
+    chance = random.Random(11)
+    starts = ["example", "your", "YOUR", "$", "${a", "<", "x", "*", ".", "Zq9-", "todo", "", "a b"]
+    for _ in range(300):
+        parts = [chance.choice(starts), *chance.choices(["x", "X", "*", "ab9", "Q-", "", ">", "."], k=chance.randint(8, 30))]
+        if chance.random() < 0.3:
+            parts = [parts[1] or "x"] * 20
+        whole = "".join(parts)
+        monkeypatch.setattr(secret_scan, "WHOLE", 8)
+        summed = secret_scan._joined([*parts[:9], secret_scan._joined(parts[9:])])
+        if isinstance(summed, secret_scan.Long):
+            assert secret_scan.value_score(summed) == secret_scan.value_score(whole), whole
+    doubled = 'a0 = "Zq9-xx77"\n' + "".join(f"a{i + 1} = a{i} + a{i}\n" for i in range(200))
+    assert secret_scan.literal_spans(doubled + "password_value = a200") == [(len(doubled) + 17, len(doubled) + 21, "literal")]
+
+
 # --- 6: lines -----------------------------------------------------------------
 
 
