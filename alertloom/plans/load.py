@@ -40,7 +40,7 @@ def adverse_events(
     rows: int | None = None,
     null_text: str | None = None,
     seed: int | str = 42,
-    multiline: bool = False,
+    multiline: bool = True,
     skip_unknown: bool = False,
 ) -> DataFrame:
     """All event files; with ``rows``, an exact seeded sample of that many."""
@@ -90,8 +90,12 @@ def run(
     base_uri: str,
     loaded_at: dt.datetime,
     event_rows: int | None = None,
+    event_multiline: bool = True,
 ) -> dict[str, int | None]:
-    """Rows written per table; None marks a feed whose files are absent."""
+    """Rows written per table; None marks a feed whose files are absent.
+
+    ``event_multiline=False`` splits event files between tasks, if none has a line break in a value.
+    """
     feeds: dict[str, tuple[str, Callable[[], DataFrame]]] = {
         "ground_truth_master": (
             readers.RECORD_FILES,
@@ -99,7 +103,7 @@ def run(
         ),
         "fda_adverse_events": (
             readers.EVENT_FILES,
-            lambda: adverse_events(spark, folder, loaded_at, event_rows),
+            lambda: adverse_events(spark, folder, loaded_at, event_rows, multiline=event_multiline),
         ),
         "fda_recalls": (RECALL_FILE, lambda: recalls(spark, folder, loaded_at)),
     }

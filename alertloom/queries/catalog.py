@@ -783,6 +783,16 @@ def csv_roundtrip(spark, folder):
     return readers.read_event_csv(spark, path, skip_unknown=True)
 
 
+@query
+def csv_line_breaks(spark, folder):
+    """Event files with line breaks and quotes in their values, written and read."""
+    path = _folder(spark, "csv-line-breaks")
+    flat = flatten.flatten_adverse_events(inputs.reports(spark, folder))
+    broken = F.concat("reactions", F.lit('\r\n"a",\n'), "safetyreportid")
+    sinks.write_events(flat.withColumn("reactions", broken), f"{path}/drug-event-1.csv")
+    return readers.read_event_csv(spark, path)
+
+
 @query
 def landed_lines(spark, folder):
     """Reports landed as JSON lines, flattened."""

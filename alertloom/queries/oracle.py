@@ -922,6 +922,14 @@ EVENT_CELLS = {
     c: f"CAST(nullif(CAST({c} AS VARCHAR), '') AS {EVENT_KINDS.get(c, 'VARCHAR')})"
     for c in codes.EVENT_FIELDS
 }
+BROKEN_CELLS = EVENT_CELLS | {
+    "reactions": "reactions || chr(13) || chr(10) || '\"a\",' || chr(10) || safetyreportid"
+}
+oracle(
+    "csv_line_breaks",
+    f"SELECT {', '.join(f'{sql} AS {c}' for c, sql in BROKEN_CELLS.items())} "
+    f"FROM ({ORACLE['adverse_flatten']}) f",
+)
 EVENT_CELLS["drugindication"] = (
     f"CASE WHEN occurcountry IS NOT NULL THEN {EVENT_CELLS['drugindication']} END"
 )

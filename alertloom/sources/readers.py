@@ -178,13 +178,12 @@ def read_records_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_event_csv(
-    spark: SparkSession, folder: str, multiline: bool = False, skip_unknown: bool = False
+    spark: SparkSession, folder: str, multiline: bool = True, skip_unknown: bool = False
 ) -> DataFrame:
-    """Flat adverse-event files, all stacked.
+    """Flat adverse-event files, all stacked; quoted values may hold line breaks.
 
-    They are large and are split between tasks, so a record is one line, as
-    ``sinks.write_events`` writes it; ``multiline`` reads files from elsewhere
-    whose values hold line breaks.
+    Each file is then one task. ``multiline=False`` splits files between tasks; it is only
+    for files known to have one line a record, as it takes a broken one for two.
     """
     path = f"{folder}/{EVENT_FILES}"
     return read_csv(spark, path, schemas.EVENT_FLAT, multiline, skip_unknown)

@@ -47,10 +47,8 @@ def write_records(df: DataFrame, path: str) -> None:
 
 
 def write_events(df: DataFrame, path: str) -> None:
-    """One record per line, so that readers can split the files: line breaks become spaces."""
-    texts = {n for n, kind in df.dtypes if kind == "string"}
-    one_line = {n: F.regexp_replace(n, r"[\r\n]+", " ") for n in EVENT_FIELDS if n in texts}
-    write_csv(df.withColumns(one_line), path, EVENT_FIELDS)
+    """Event files as ``readers.read_event_csv`` reads them; line breaks stay in the values."""
+    write_csv(df, path, EVENT_FIELDS)
 
 
 def append_seen(df: DataFrame, path: str, key: str = "source_url") -> None:

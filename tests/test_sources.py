@@ -2,8 +2,10 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from alertloom import schemas
+from alertloom.fixed.codes import EVENT_FIELDS
 from alertloom.operators import flatten, quality
 from alertloom.plans import load
 from alertloom.sources import readers, sinks
@@ -103,6 +105,22 @@ def test_nested_reports_from_json_to_csv_and_back(spark, tmp_path):
     assert back["2"].reactions is None and back["2"].patientonsetage == 7.0
 
 
+def test_line_breaks_in_event_values_are_kept(spark, tmp_path):
+    values = ["one\ntwo", 'a "b"\r\n\r\nc, d', "plain", "x\ry", "end\n"]
+    rows = [(str(i), v) for i, v in enumerate(values)]
+    events = spark.createDataFrame(rows, "safetyreportid string, reactions string")
+    others = [F.lit(None).cast("string").alias(c) for c in EVENT_FIELDS if c not in events.columns]
+    sinks.write_events(events.select("*", *others), str(tmp_path / "drug-event-1.csv"))
+    (tmp_path / "drug-event-2.csv").write_bytes(b'safetyreportid,reactions,occurcountry\n9,"far\nfrom here",US\n')
+    wanted = {**dict(rows), "9": "far\nfrom here"}
+    back = readers.read_event_csv(spark, str(tmp_path)).collect()
+    assert len(back) == len(wanted) and {r.safetyreportid: r.reactions for r in back} == wanted
+    written = load.run(spark, str(tmp_path), str(tmp_path / "tables"), "gs://bucket", NOW)
+    assert written["fda_adverse_events"] == 6
+    loaded = spark.read.parquet(str(tmp_path / "tables/fda_adverse_events")).collect()
+    assert {r.safetyreportid: (r.reactions, r.occurcountry) for r in loaded}["9"] == ("far\nfrom here", "US")
+
+
 def test_json_lines(spark, tmp_path):
     (tmp_path / "trials.json").write_text(
         '{"protocolSection": {"identificationModule": {"nctId": "N1"}}}\n{}\n'
