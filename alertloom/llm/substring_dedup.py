@@ -1,7 +1,7 @@
 """Substring dedup: paragraphs by MinHash banding, exact checks, connected groups.
 
-Two kinds of paragraph are taken from each text: its lines, and passages of a fixed number of
-words that start wherever a word's hash is the least of its neighbourhood, so that a passage
+Two kinds of paragraph are taken from each text: its lines, to which count the stretches between
+blank lines as a whole, as lines may be wrapped; and passages of a fixed number of words that start wherever a word's hash is the least of its neighbourhood, so that a passage
 copied into the middle of another text yields paragraphs equal to its own. Equal paragraphs
 are one class. Lines that are nearly equal share a band of MinHashes with high probability;
 the members of a bucket are compared by exact Jaccard similarity of their five-word shingles.
@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from alertloom.llm.graph import components, forest, shared_buckets
@@ -27,7 +27,7 @@ from alertloom.session import settle
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, BAND_ROWS = 9, 3  # a pair at the threshold shares a band in 998 of 1000 cases
-MIN_WORDS = 20
+MIN_WORDS = SHINGLE
 # A run of 51 words that two texts share holds a passage of both: 20 words that start at the
 # least hash of 32 neighbouring starts.
 PASSAGE_WORDS, PASSAGE_SPREAD = 20, 32
@@ -69,6 +69,18 @@ def _passage_starts(buffer: Buffer) -> np.ndarray:
     return starts[picked]
 
 
+def _joined_lines(buffer: Buffer, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First word, and word after the last, of stretches of several lines, in documents with blank lines between."""
+    line, doc = buffer.line[first], buffer.doc[first]
+    new = np.ones(len(first), dtype=bool)
+    new[1:] = (line[1:] > line[:-1] + 1) | (doc[1:] != doc[:-1])
+    starts = np.flatnonzero(new)
+    stops = np.append(starts[1:], len(first))[: len(starts)]
+    parted = np.bincount(doc[starts], minlength=len(buffer.rows)) > 1
+    chosen = (stops - starts > 1) & parted[doc[starts]]
+    return first[starts[chosen]], last[stops[chosen] - 1]
+
+
 def _line_bands(shingles: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """[line, band]: a hash of each band's least values over the shingles of the line."""
     a, b = _factors(BANDS * BAND_ROWS)
@@ -100,6 +112,8 @@ def paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         for batch in batches:
             for buffer in buffers(t.as_py() for t in batch.column(3)):
                 first, last = buffer.line_runs()
+                more_first, more_last = _joined_lines(buffer, first, last)
+                first, last = np.concatenate([first, more_first]), np.concatenate([last, more_last])
                 long = last - first >= least_words
                 first, last = first[long], last[long]
                 starts = _passage_starts(buffer)
@@ -195,24 +209,24 @@ def repeats(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MI
     """(doc_id, kept_doc_id, n_spans, n_chars, spans) for documents with repeated paragraphs.
 
     A row for each document and each document that holds the occurrence which stays; spans
-    are the code points to remove, `start:end`, overlapping ones joined. Only paragraphs that
-    occur in two documents or more count. Occurrences are ordered by doc_id, null last, then
+    are the code points to remove, `start:end`, overlapping ones joined. A later occurrence in the
+    same document counts too, unless it overlaps the one which stays. Occurrences are ordered by doc_id, null last, then
     place; rows alike in doc_id and text are one document. Null and empty texts have none.
     """
     found = settle(paragraphs(docs, min_words), "paragraphs")
     row = F.struct("__null", "__id", "__hash", "start", "end")
-    doc = F.xxhash64(*NAME)
+    place = F.xxhash64(*NAME, "start")
     classes = found.groupBy("k1", "k2", "kind").agg(
-        F.min(row).alias("row"), F.min(doc).alias("low"), F.max(doc).alias("high"), F.first("bands").alias("bands")
+        F.min(row).alias("row"), F.min(place).alias("low"), F.max(place).alias("high"), F.first("bands").alias("bands")
     )
-    # Most passages are in one document only; their classes end here.
+    # Most passages occur once; their classes end here.
     classes = settle(classes.where((F.col("kind") == LINE) | (F.col("low") != F.col("high"))), "paragraph-classes")
     lines = classes.where(F.col("kind") == LINE).drop("low", "high")
     roots = components(near_links(docs, lines, similarity)).select(F.col("node").alias("k1"), "root")
     near = lines.drop("bands").join(roots, "k1")
     heads = near.groupBy("root").agg(F.min("row").alias("head"))
     near = near.join(heads, "root").select("k1", "k2", "kind", "head")
-    # A class is of interest if it has a near one, or lies in two documents.
+    # A class is of interest if it has a near one, or occurs twice.
     exact = classes.where("low != high").select("k1", "k2", "kind", "row")
     heads = exact.join(near, ["k1", "k2", "kind"], "full").select(
         "k1", "k2", "kind", F.coalesce("head", "row").alias("head")
@@ -220,30 +234,25 @@ def repeats(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MI
     spans = (
         found.drop("bands")
         .join(heads.hint("shuffle_hash"), ["k1", "k2", "kind"])
-        .where("__id != head.__id OR __null != head.__null OR __hash != head.__hash")
-        .groupBy(*NAME, F.col("head.__id").alias("kept_id"), F.col("head.__null").alias("kept_null"))
-        .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("all"))
+        .where("__id != head.__id OR __null != head.__null OR __hash != head.__hash OR start >= head.end")
+        .select(*NAME, F.col("head.__id").alias("kept_id"), F.col("head.__null").alias("kept_null"), "start", "end")
     )
-    joined = F.aggregate(
-        "all",
-        F.array().cast("array<struct<start:int,end:int>>"),
-        lambda done, s: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["end"] >= s["start"]),
-            F.concat(
-                F.slice(done, 1, F.size(done) - 1),
-                F.array(
-                    F.struct(
-                        F.element_at(done, -1)["start"].alias("start"),
-                        F.greatest(F.element_at(done, -1)["end"], s["end"]).alias("end"),
-                    )
-                ),
-            ),
-        ).otherwise(F.concat(done, F.array(s))),
+    # Spans that overlap or touch are one; linear in their number.
+    pair = [*NAME, "kept_id", "kept_null"]
+    ordered = Window.partitionBy(*pair).orderBy("start", "end")
+    reached = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    parts = (
+        spans.withColumn("new", F.when(reached >= F.col("start"), 0).otherwise(1))
+        .withColumn("part", F.sum("new").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(*pair, "part")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
+        .groupBy(*pair)
+        .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
     )
-    return spans.select(
+    return parts.select(
         F.when(~F.col("__null"), F.col("__id")).alias("doc_id"),
         F.when(~F.col("kept_null"), F.col("kept_id")).alias("kept_doc_id"),
-        joined.alias("spans"),
+        "spans",
     ).select(
         "doc_id",
         "kept_doc_id",

@@ -186,6 +186,22 @@ def test_near_lines_are_those_of_all_pairs(spark):
     assert {r.doc_id: r.kept_doc_id for r in found.collect()} == {i: r for i, r in roots.items() if r != i}
 
 
+def test_short_wrapped_and_own_repeats_are_found(spark):
+    chance = random.Random(41)
+    flat = lambda n: prose(chance, n).replace("\n", " ")
+    short, wrapped, own, five = flat(19), flat(60).split(" "), flat(30), "only five words stand here"
+    wrap = lambda words, n: "\n".join(" ".join(words[i : i + n]) for i in range(0, len(words), n))
+    changed = [*wrapped[:30], "changed", *wrapped[31:]]
+    texts = [f"{flat(30)}\n{line}\n{flat(40)}" for line in (short, short, five, five)]
+    texts += [f"{flat(30)}\n\n{wrap(words, n)}\n\n{flat(40)}" for words, n in ((wrapped, 4), (changed, 3))]
+    texts += ["\n".join([own, flat(25)] * 1 + [own] * 500)]
+    got = {(r.doc_id, r.kept_doc_id): r for r in substring_dedup.repeats(table(spark, texts)).collect()}
+    assert set(got) == {(1, 0), (3, 2), (5, 4), (6, 6)}
+    cut = {k: [texts[k[0]][slice(*map(int, s.split(":")))] for s in r.spans.split(",")] for k, r in got.items()}
+    assert cut[1, 0] == [short] and cut[3, 2] == [five] and cut[5, 4] == [wrap(changed, 3)]
+    assert "".join(cut[6, 6]).replace("\n", "") == own * 500 and got[6, 6].spans.split(":")[0] != "0"
+
+
 # --- 2: token counts ----------------------------------------------------------
 
 
