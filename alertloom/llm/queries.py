@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from alertloom.llm import (
     decontamination,
     line_dedup,
+    mixing,
     piece_coding,
     quality_rules,
     secret_scan,
@@ -19,6 +20,7 @@ from alertloom.llm import (
     token_counts,
     toxicity,
 )
+from alertloom.llm.oracle import ORACLE as ORACLE
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -87,6 +89,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contaminated(documents(spark, folder), table(spark, folder, "benchmark"))
 
 
+def op13_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -100,6 +106,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sharding,
         op9_simhash_dedup,
         op10_decontamination,
+        op13_source_mixing,
     )
 }
-ORACLE: dict[str, str] = {}
