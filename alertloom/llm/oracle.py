@@ -37,4 +37,42 @@ SELECT doc_id, size, source_size, target,
 FROM run
 """
 
-ORACLE = {"op13_source_mixing": OP13_MIXING}
+OP12_PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces
+), grams AS (
+  SELECT lang, m, ws[i : i + m - 1] AS g, count(*) AS f
+  FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM words, range(1, 6) t(m))
+  GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f) AS n FROM grams WHERE m = 1 GROUP BY lang
+), frequent AS (
+  SELECT * FROM grams WHERE f >= 100
+), inside AS (
+  SELECT lang, g, max(f) AS around FROM (
+    SELECT lang, g[2:] AS g, f FROM frequent WHERE m > 2 UNION ALL SELECT lang, g[:m - 1], f FROM frequent WHERE m > 2)
+  GROUP BY lang, g
+), cuts AS (
+  SELECT c.lang, c.g, c.f AS a, k, l.f AS l, r.f AS r, n,
+         (1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM frequent WHERE m > 1) c
+  JOIN frequent l ON l.lang = c.lang AND l.g = c.g[:k]
+  JOIN frequent r ON r.lang = c.lang AND r.g = c.g[k + 1:]
+  JOIN totals t ON t.lang = c.lang
+), scored AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, array_to_string(s.g, ' ')) AS rank
+  FROM scored s LEFT JOIN inside i ON i.lang = s.lang AND i.g = s.g
+  WHERE around IS NULL OR around < a
+)
+SELECT lang, rank, array_to_string(g, ' ') AS phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+ORACLE = {"op12_phrase_collocations": OP12_PHRASES, "op13_source_mixing": OP13_MIXING}

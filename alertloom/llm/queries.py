@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertloom.llm import (
+    collocations,
     decontamination,
     line_dedup,
     mixing,
@@ -89,6 +90,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contaminated(documents(spark, folder), table(spark, folder, "benchmark"))
 
 
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(documents(spark, folder))
+
+
 def op13_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(documents(spark, folder))
 
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sharding,
         op9_simhash_dedup,
         op10_decontamination,
+        op12_phrase_collocations,
         op13_source_mixing,
     )
 }
