@@ -163,7 +163,7 @@ def _phrases_at(words: Words, starts: np.ndarray, width: int) -> np.ndarray:
 
 
 def _count(docs: DataFrame, choose: Callable[[Words], Iterator[tuple[np.ndarray, int]]], least: int) -> DataFrame:
-    """(w1..w5, n) of the phrases at the places that `choose` gives with their number of words."""
+    """(p, n) of the phrases, as arrays of names, at the places that `choose` gives with their number of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,7 +173,8 @@ def _count(docs: DataFrame, choose: Callable[[Words], Iterator[tuple[np.ndarray,
                     yield from _tallied(np.concatenate(found)) if found else ()
 
     rows = _texts(docs).mapInArrow(run, _COUNTED)
-    return rows.groupBy(*_PLACES).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    counted = rows.groupBy(*_PLACES).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return counted.select(F.filter(F.array(*_PLACES), lambda name: name != 0).alias("p"), "n")
 
 
 # --- bitmaps -----------------------------------------------------------------
@@ -193,10 +194,8 @@ class Bitmap:
     def of(cls, hashes: DataFrame) -> Bitmap:
         """Of one column of longs. What comes to the driver is at most MOST_BITS."""
         column = F.col(hashes.columns[0])
-        held = hashes.count()
-        size = 1 << 12
-        while size < min(MOST_BITS, BITS_EACH * held):
-            size *= 2
+        wanted = min(MOST_BITS, BITS_EACH * hashes.count())
+        size = max(1 << 12, 1 << (wanted - 1).bit_length())
         place = column.bitwiseAND(F.lit(size - 1))
         blocks = hashes.groupBy(F.shiftright(place, 6).alias("block")).agg(
             F.bit_or(F.expr(f"shiftleft(1L, cast(`{hashes.columns[0]}` & 63 as int))")).alias("bits")
@@ -211,25 +210,19 @@ class Bitmap:
         return (self.bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
 
 
-def _prints(phrases: DataFrame, width: int) -> DataFrame:
-    """The hash of each phrase of so many words, as `Words.prints` makes it."""
+def _prints(phrases: DataFrame) -> DataFrame:
+    """The hash of each phrase `p`, as `Words.prints` makes it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = [c.to_numpy().view(np.uint64) for c in batch.columns]
-            flat = np.stack(names, axis=1).ravel()
-            yield pa.record_batch({"print": pa.array(signed(combine(flat, width)[::width]))})
+            phrases = batch.column(0)
+            sizes = np.diff(phrases.offsets.to_numpy())
+            names = phrases.flatten().to_numpy().view(np.uint64)
+            for width in set(sizes.tolist()):
+                own = names[np.repeat(sizes == width, sizes)]
+                yield pa.record_batch({"print": pa.array(signed(combine(own, width)[::width]))})
 
-    return phrases.select(*_PLACES[:width]).mapInArrow(run, "print long")
-
-
-def _width() -> Column:
-    return sum((F.col(p) != 0).cast("int") for p in _PLACES)
-
-
-def _of_width(phrases: DataFrame, width: int) -> DataFrame:
-    part = phrases.where(F.col(f"w{width}") != 0)
-    return part if width == LONGEST else part.where(F.col(f"w{width + 1}") == 0)
+    return phrases.select("p").mapInArrow(run, "print long")
 
 
 # --- growth ------------------------------------------------------------------
@@ -250,7 +243,7 @@ def _expand(docs: DataFrame, words: Bitmap, fresh: Bitmap, known: list[Bitmap],
         yield starts[words.has(texts.names[starts + 1])], 2
 
     two = settle(_count(docs, pairs, least), "phrases-pairs")
-    frequent = Bitmap.of(_prints(two, 2))
+    frequent = Bitmap.of(_prints(two))
 
     def longer(texts: Words) -> Iterator[tuple[np.ndarray, int]]:
         new = begins(texts)
@@ -272,17 +265,10 @@ def _lead_in(docs: DataFrame, found: DataFrame, words: Bitmap, known: list[Bitma
 
     The last parts of the phrases found, and the phrases with one word before.
     """
-    ends, wholes = {}, {}
-    for width in range(2, LONGEST):
-        tails = [
-            _of_width(found, size).select(*[F.col(_PLACES[size - width + i]).alias(p) for i, p in enumerate(_PLACES[:width])])
-            for size in range(width + 1, LONGEST + 1)
-        ]
-        joined = tails[0]
-        for tail in tails[1:]:
-            joined = joined.unionByName(tail)
-        ends[width] = Bitmap.of(_prints(joined.distinct(), width))
-        wholes[width] = Bitmap.of(_prints(_of_width(found, width), width))
+    size = F.size("p")
+    tails = F.transform(F.sequence(F.lit(2), size - 1), lambda i: F.slice("p", i, size))
+    ends = Bitmap.of(_prints(found.where(size > 2).select(F.explode(tails).alias("p")).distinct()))
+    wholes = Bitmap.of(_prints(found.where(size < LONGEST)))
 
     def choose(texts: Words) -> Iterator[tuple[np.ndarray, int]]:
         outside = words.has(texts.names)
@@ -293,9 +279,9 @@ def _lead_in(docs: DataFrame, found: DataFrame, words: Bitmap, known: list[Bitma
             starts = starts[outside[starts]]
             wanted = np.zeros(len(starts), bool)
             if width < LONGEST:
-                wanted |= ends[width].has(texts.prints(width)[starts])
+                wanted |= ends.has(texts.prints(width)[starts])
             if width > 2:
-                wanted |= wholes[width - 1].has(texts.prints(width - 1)[starts + 1])
+                wanted |= wholes.has(texts.prints(width - 1)[starts + 1])
             yield starts[wanted], width
 
     return settle(_count(docs, choose, least), "phrases-lead-in")
@@ -304,12 +290,6 @@ def _lead_in(docs: DataFrame, found: DataFrame, words: Bitmap, known: list[Bitma
 # --- scores ------------------------------------------------------------------
 
 
-def _part(first: int, last: int) -> list[Column]:
-    """The words from place `first` up to before `last`, padded, as the columns of a phrase."""
-    names = [F.col(p) for p in _PLACES[first:last]]
-    return [(names[i] if i < len(names) else F.lit(0).cast("long")).alias(p) for i, p in enumerate(_PLACES)]
-
-
 def _score(a: Column, n: Column, l: Column, r: Column) -> Column:  # noqa: E741
     """floor(1000 * a * n / (l * r)) in whole numbers of up to 38 digits."""
     over = (F.lit(1000).cast("decimal(4,0)") * a.cast("decimal(15,0)")) * n.cast("decimal(18,0)")
@@ -317,53 +297,31 @@ def _score(a: Column, n: Column, l: Column, r: Column) -> Column:  # noqa: E741
 
 
 def scored(words: DataFrame, counts: DataFrame, begun: DataFrame) -> DataFrame:
-    """The surviving phrases that begin with a word of `begun`: w1..w5, a, l, r, lang, n, score.
+    """The surviving phrases that begin with a word of `begun`: p, lang, a, n, score, l, r.
 
     `counts` holds these phrases, their last parts and the phrases with a word more at either end,
     where those are frequent.
     """
-    keys = words.where("name != 0").select("lang", "name", F.col("n").alias("count"))
     totals = words.where("name = 0").select("lang", F.col("n").alias("all"))
-    singles = keys.select(F.col("name").alias("w1"), *[F.lit(0).cast("long").alias(p) for p in _PLACES[1:]], F.col("count").alias("n"))
-    every = counts.unionByName(singles)
-    mine = counts.join(begun.select(F.col("name").alias("w1"), "lang"), "w1").withColumnRenamed("n", "a")
-    width = _width()
+    singles = words.where("name != 0").select(F.array("name").alias("p"), "n")
+    size = F.size("p")
     # A phrase goes if one with a word more, at either end, is as frequent.
-    longer = counts.where("w3 != 0").withColumn("width", width)
-    inner = []
-    for size in range(3, LONGEST + 1):
-        of = longer.where(F.col("width") == size)
-        inner += [of.select(*_part(0, size - 1), "n"), of.select(*_part(1, size), "n")]
-    around = inner[0]
-    for one in inner[1:]:
-        around = around.unionByName(one)
-    most = around.groupBy(*_PLACES).agg(F.max("n").alias("around"))
-    left = mine.join(most, _PLACES, "left").where("around IS NULL OR around < a").drop("around").withColumn("width", width)
-    cuts = []
-    for size in range(2, LONGEST + 1):
-        of = left.where(F.col("width") == size)
-        for k in range(1, size):
-            cuts.append(
-                of.select(
-                    *_PLACES,
-                    "a",
-                    "lang",
-                    F.lit(k).alias("k"),
-                    F.struct(*_part(0, k)).alias("first"),
-                    F.struct(*_part(k, size)).alias("rest"),
-                )
-            )
-    cut = cuts[0]
-    for one in cuts[1:]:
-        cut = cut.unionByName(one)
-    part = F.struct(*_PLACES)
-    firsts = every.select(part.alias("first"), F.col("n").alias("l"))
-    rests = every.select(part.alias("rest"), F.col("n").alias("r"))
+    inner = F.explode(F.array(F.slice("p", F.lit(1), size - 1), F.slice("p", F.lit(2), size - 1))).alias("p")
+    around = counts.where(size > 2).select("n", inner).groupBy("p").agg(F.max("n").alias("around"))
+    mine = counts.withColumn("name", F.get("p", F.lit(0))).join(begun.select("name", "lang"), "name")
+    left = mine.select("p", "lang", F.col("n").alias("a")).join(around, "p", "left")
+    cuts = F.transform(
+        F.sequence(F.lit(1), size - 1),
+        lambda k: F.struct(k.alias("k"), F.slice("p", F.lit(1), k).alias("first"), F.slice("p", k + 1, size).alias("rest")),
+    )
+    cut = left.where("around IS NULL OR around < a").select("p", "lang", "a", F.inline(cuts))
+    every = counts.unionByName(singles)
+    firsts = every.select(F.col("p").alias("first"), F.col("n").alias("l"))
+    rests = every.select(F.col("p").alias("rest"), F.col("n").alias("r"))
     valued = cut.join(firsts, "first").join(rests, "rest").join(totals, "lang").withColumnRenamed("all", "n")
     valued = valued.withColumn("score", _score(F.col("a"), F.col("n"), F.col("l"), F.col("r")))
-    best = F.min(F.struct("score", "k", "l", "r")).alias("best")
-    least = valued.groupBy(*_PLACES, "lang", "a", "n").agg(best)
-    return least.select(*_PLACES, "lang", "a", "n", "best.score", "best.l", "best.r")
+    least = valued.groupBy("p", "lang", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("best"))
+    return least.select("p", "lang", "a", "n", "best.score", "best.l", "best.r")
 
 
 def _last_place(found: DataFrame, top: int) -> DataFrame:
@@ -413,8 +371,8 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST) -> DataFra
         else:
             leads = counts.unionByName(_lead_in(docs, counts, filter_, known, least))
         # A phrase may be counted in several rounds, each time in full.
-        every = leads.groupBy(*_PLACES).agg(F.max("n").alias("n"))
-        survivors = settle(scored(words, every, left.where("done")), "phrases-scored")
+        every = leads.groupBy("p").agg(F.max("n").alias("n"))
+        survivors = settle(scored(words, settle(every, "phrases-counts"), left.where("done")), "phrases-scored")
         found, bars = counts, _last_place(survivors, top)
         batch *= GROWTH
     if found is None:
@@ -432,12 +390,11 @@ def _spelled(found: DataFrame, words: DataFrame, top: int) -> DataFrame:
     """The phrases up to each language's last place in words, ranked."""
     bars = _last_place(found, top)
     held = found.join(bars, "lang", "left").where("bar IS NULL OR score >= bar").drop("bar")
-    held = held.withColumn("id", F.struct(*_PLACES))
-    names = held.select("id", "lang", F.posexplode(F.array(*_PLACES)).alias("at", "name")).where("name != 0")
-    spelled = names.join(words.select("name", "word"), "name").groupBy("id").agg(
+    names = held.select("p", F.posexplode("p").alias("at", "name"))
+    spelled = names.join(words.select("name", "word"), "name").groupBy("p").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]), " ").alias("phrase")
     )
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc())
     rank = F.row_number().over(order).cast("long")
-    ranked = held.join(spelled, "id").withColumn("rank", rank).where(F.col("rank") <= top)
+    ranked = held.join(spelled, "p").withColumn("rank", rank).where(F.col("rank") <= top)
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
