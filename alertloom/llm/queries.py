@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from alertloom.llm import (
     collocations,
+    conversations,
     decontamination,
     line_dedup,
     mixing,
@@ -90,6 +91,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contaminated(documents(spark, folder), table(spark, folder, "benchmark"))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair_damaged(table(spark, folder, "conversations"))
+
+
 def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(documents(spark, folder))
 
@@ -111,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sharding,
         op9_simhash_dedup,
         op10_decontamination,
+        op11_conversation_repair,
         op12_phrase_collocations,
         op13_source_mixing,
     )
