@@ -75,4 +75,104 @@ SELECT lang, rank, array_to_string(g, ' ') AS phrase, a, l, r, CAST(n AS BIGINT)
 FROM ranked WHERE rank <= 2000
 """
 
-ORACLE = {"op12_phrase_collocations": OP12_PHRASES, "op13_source_mixing": OP13_MIXING}
+
+def _more(cell: str, cost: str, letters: str) -> str:
+    """A cell of eight digits of cost and the audit after them, so that the least string is the best one."""
+    return f"(lpad(CAST(CAST(left({cell}, 8) AS INTEGER) + {cost} AS VARCHAR), 8, '0') || substr({cell}, 9) || '{letters}')"
+
+
+def _least(*cells: str) -> str:
+    return f"list_min([{', '.join(cells)}])"
+
+
+def _repair_step() -> str:
+    """The cells of the four states after a row x = [initial, fault, truncated], from those before, c."""
+    state = lambda p: f"c[{p + 1}]"
+    taken = lambda p, initial: (
+        f"CASE WHEN x[2] <> '' THEN NULL WHEN x[1] = '{initial}' THEN {_more(state(p), 'CAST(x[3] AS INTEGER)', 'K')}"
+        f" ELSE {_more(state(p), '2 + CAST(x[3] AS INTEGER)', 'R')} END"
+    )
+    system = f"CASE WHEN x[2] = '' AND x[1] = 's' THEN {_more(state(0), 'CAST(x[3] AS INTEGER)', 'K')} END"
+    gone = [_more(state(p), "3", "D") for p in range(4)]
+    after = [
+        gone[0],
+        _least(gone[1], system),
+        _least(gone[2], taken(0, "u"), taken(1, "u"), taken(3, "u")),
+        _least(gone[3], taken(2, "a")),
+    ]
+    closed = [
+        after[0],
+        after[1],
+        _least(after[2], *[_more(after[p], "2", "I") for p in (0, 1, 3)]),
+        _least(after[3], _more(after[2], "2", "I"), *[_more(after[p], "4", "II") for p in (0, 1)]),
+    ]
+    return f"[{', '.join(closed)}]"
+
+
+OP11_REPAIR = rf"""
+WITH shifts AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda c, b: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)
+), named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                        lambda x: CAST(ord(x) AS BIGINT)) AS name
+  FROM conversations
+), kinds AS (
+  SELECT conv_id, turn, role, text,
+         xor(list_reduce([4294967295] || name, lambda c, b: xor(t[1 + (xor(c, b) & 255)], c >> 8)), 4294967295) % 20 AS kind
+  FROM named, shifts
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds WHERE kind <> 0
+), digested AS (
+  SELECT *, md5(length(role) || ':' || role || text) AS digest, left(role, 1) AS initial,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS solid
+  FROM damaged
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS rn FROM digested
+), marked AS (
+  SELECT *, CASE WHEN solid = '' THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, digest ORDER BY rn) > 1 THEN 'duplicate' ELSE '' END AS fault,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY rn) || initial AS pair
+  FROM numbered
+), cut AS (
+  SELECT *, CASE WHEN fault = '' AND right(solid, 1) NOT IN ('.', '!', '?') THEN 1 ELSE 0 END AS truncated FROM marked
+), parsed AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         sum(truncated) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+         list_reduce([['00000000', '99000000', '00000002I', '00000004II']]
+                     || list([initial, fault, CAST(truncated AS VARCHAR)] ORDER BY rn), lambda c, x: {_repair_step()}) AS cells
+  FROM cut GROUP BY conv_id
+), best AS (
+  SELECT *, least(cells[1], cells[4]) AS cell, substr(least(cells[1], cells[4]), 9) AS audit FROM parsed
+), letters AS (
+  SELECT conv_id, unnest(string_split(audit, '')) AS edit, generate_subscripts(string_split(audit, ''), 1) AS i FROM best WHERE audit <> ''
+), places AS (
+  SELECT *, count(*) FILTER (edit <> 'I') OVER sofar AS rn, count(*) FILTER (edit <> 'D') OVER sofar AS seat FROM letters
+  WINDOW sofar AS (PARTITION BY conv_id ORDER BY i)
+), lines AS (
+  SELECT p.conv_id, p.i, p.seat, p.edit, c.role, c.text,
+         max(CASE WHEN p.seat = 1 AND p.edit = 'K' AND c.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY p.conv_id) AS shift
+  FROM places p LEFT JOIN cut c ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND c.rn = p.rn AND p.edit <> 'I'
+  WHERE p.edit <> 'D'
+), repaired AS (
+  SELECT conv_id, sha256(string_agg(
+           CASE WHEN edit = 'K' THEN role WHEN (seat - shift) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''),
+           chr(10) ORDER BY i)) AS sha
+  FROM lines GROUP BY conv_id
+)
+SELECT e.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(left(cell, 8), '0') AS BIGINT) AS cost,
+       coalesce(audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) e
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM e.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+ORACLE = {"op11_conversation_repair": OP11_REPAIR, "op12_phrase_collocations": OP12_PHRASES, "op13_source_mixing": OP13_MIXING}
