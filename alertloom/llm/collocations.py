@@ -31,7 +31,7 @@ LEAST = 100
 LONGEST = 5
 TOP = 2000
 BATCH = 8  # first words of the first batch, as a multiple of the places asked for
-GROWTH = 8  # of a batch over the one before
+STEP = 1.0  # occurrences of a later batch's words, as a multiple of those expanded before
 MOST_BITS = 1 << 27  # of a bitmap: 16 MB
 BITS_EACH = 16
 
@@ -229,7 +229,11 @@ def _prints(phrases: DataFrame) -> DataFrame:
 
 
 def _expand(docs: DataFrame, words: Bitmap, fresh: Bitmap, known: list[Bitmap], least: int) -> DataFrame:
-    """All frequent phrases that begin with a fresh word: pairs first, the longer ones from frequent pairs."""
+    """All frequent phrases that begin with a fresh word.
+
+    One pass counts pairs by a hash alone, most being rare; a second one counts what grows from
+    the pairs that may be frequent, by the words' names.
+    """
 
     def begins(texts: Words) -> np.ndarray:
         new = fresh.has(texts.names)
@@ -237,27 +241,31 @@ def _expand(docs: DataFrame, words: Bitmap, fresh: Bitmap, known: list[Bitmap],
             new &= ~old.has(texts.names)
         return new
 
-    def pairs(texts: Words) -> Iterator[tuple[np.ndarray, int]]:
-        starts = texts.runs(2)
-        starts = starts[begins(texts)[starts]]
-        yield starts[words.has(texts.names[starts + 1])], 2
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in _words(batch):
+                starts = texts.runs(2)
+                starts = starts[begins(texts)[starts]]
+                starts = starts[words.has(texts.names[starts + 1])]
+                prints, n = np.unique(texts.prints(2)[starts], return_counts=True)
+                yield pa.record_batch({"print": pa.array(signed(prints)), "n": pa.array(n.astype(np.int64))})
 
-    two = settle(_count(docs, pairs, least), "phrases-pairs")
-    frequent = Bitmap.of(_prints(two))
+    counted = _texts(docs).mapInArrow(pairs, "print long, n long").groupBy("print").agg(F.sum("n").alias("n"))
+    frequent = Bitmap.of(settle(counted.where(F.col("n") >= least).select("print"), "phrases-pairs"))
 
-    def longer(texts: Words) -> Iterator[tuple[np.ndarray, int]]:
+    def grown(texts: Words) -> Iterator[tuple[np.ndarray, int]]:
         new = begins(texts)
         pair = frequent.has(texts.prints(2))
         # A pair whose first word is not fresh is not known here; its words at least are frequent.
         may = np.where(new, pair, words.has(texts.names))
-        starts = texts.runs(3)
-        starts = starts[new[starts] & pair[starts]]
-        for width in range(3, LONGEST + 1):
+        starts = texts.runs(2)
+        starts = starts[new[starts]]
+        for width in range(2, LONGEST + 1):
             starts = starts[texts.left[starts] >= width - 1]
             starts = starts[may[starts + width - 2] & words.has(texts.names[starts + width - 1])]
             yield starts, width
 
-    return two.unionByName(settle(_count(docs, longer, least), "phrases-longer"))
+    return settle(_count(docs, grown, least), "phrases-grown")
 
 
 def _lead_in(docs: DataFrame, found: DataFrame, words: Bitmap, known: list[Bitmap], least: int) -> DataFrame:
@@ -332,6 +340,34 @@ def _last_place(found: DataFrame, top: int) -> DataFrame:
     ).select("lang", F.col("score").alias("bar"))
 
 
+def _batch(left: DataFrame, totals: DataFrame, bars: DataFrame | None, first: int) -> DataFrame:
+    """(lang, name) of the words to expand next: the rarest, unless nothing of theirs can enter.
+
+    At first so many words; later as many occurrences as were expanded before, so that the number
+    of batches goes with the logarithm of the text. Words are counted by frequency before they
+    are put in order.
+    """
+    open_ = left.where("NOT done").join(totals, "lang")
+    if bars is not None:
+        bound = F.floor(F.lit(1000) * F.col("all") / F.col("n"))
+        open_ = open_.join(bars, "lang", "left").where(F.col("bar").isNull() | (bound >= F.col("bar")))
+    spent = left.where("done").groupBy("lang").agg(F.sum("n").alias("spent"))
+    levels = open_.groupBy("lang", "n").agg(F.count("*").alias("held"))
+    order = Window.partitionBy("lang").orderBy("n")
+    levels = levels.join(spent, "lang", "left").select(
+        "lang",
+        "n",
+        (F.sum("held").over(order) - F.col("held")).alias("words_before"),
+        F.sum(F.col("held") * F.col("n")).over(order).alias("occurrences"),
+        (F.col("spent") * STEP).alias("budget"),
+        F.row_number().over(order).alias("level"),
+    )
+    starting = F.col("budget").isNull() & (F.col("words_before") < first)
+    chosen = levels.where(starting | (F.col("occurrences") <= F.col("budget")) | (F.col("level") == 1))
+    upto = chosen.groupBy("lang").agg(F.max("n").alias("upto"))
+    return open_.join(upto, "lang").where("n <= upto").select("lang", "name")
+
+
 def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's first `top` phrases.
 
@@ -347,35 +383,25 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST) -> DataFra
         raise RuntimeError("two frequent words share a name")
     filter_ = Bitmap.of(frequent.select("name"))
     totals = words.where("name = 0").select("lang", F.col("n").alias("all"))
-    bound = F.floor(F.lit(1000) * F.col("all") / F.col("n"))
-    place = F.rank().over(Window.partitionBy("lang").orderBy("n"))
     left = frequent.withColumn("done", F.lit(False))
-    found, known, batch, bars = None, [], BATCH * top, None
+    counts, known, bars = None, [], None
     while True:
-        # The batch: the rarest words that are left, unless nothing of theirs can enter.
-        open_ = left.where("NOT done").drop("done").join(totals, "lang").withColumn("bound", bound)
-        if bars is not None:
-            open_ = open_.join(bars, "lang", "left").where("bar IS NULL OR bound >= bar").drop("bar")
-        ranked = open_.withColumn("place", place).where(F.col("place") <= batch)
-        fresh = settle(ranked.select("lang", "name"), "phrases-batch")
+        fresh = settle(_batch(left, totals, bars, BATCH * top), "phrases-batch")
         if fresh.isEmpty():
             break
         bits = Bitmap.of(fresh.select("name"))
         grown = _expand(docs, filter_, bits, known, least)
         known.append(bits)
-        counts = grown if found is None else found.unionByName(grown)
         done = left.join(fresh.select("name", F.lit(True).alias("now")), "name", "left")
         left = settle(done.select("lang", "name", "n", (F.col("done") | F.col("now").isNotNull()).alias("done")), "phrases-left")
-        if left.where("NOT done").isEmpty():
-            leads = counts
-        else:
-            leads = counts.unionByName(_lead_in(docs, counts, filter_, known, least))
+        if not left.where("NOT done").isEmpty():
+            grown = grown.unionByName(_lead_in(docs, grown, filter_, known, least))
         # A phrase may be counted in several rounds, each time in full.
-        every = leads.groupBy("p").agg(F.max("n").alias("n"))
-        survivors = settle(scored(words, settle(every, "phrases-counts"), left.where("done")), "phrases-scored")
-        found, bars = counts, _last_place(survivors, top)
-        batch *= GROWTH
-    if found is None:
+        every = grown if counts is None else counts.unionByName(grown)
+        counts = settle(every.groupBy("p").agg(F.max("n").alias("n")), "phrases-counts")
+        survivors = settle(scored(words, counts, left.where("done")), "phrases-scored")
+        bars = _last_place(survivors, top)
+    if counts is None:
         return _nothing(spark)
     return _spelled(survivors, words, top)
 

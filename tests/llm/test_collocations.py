@@ -72,10 +72,10 @@ def corpus(seed, docs, langs=("en", "de", None)):
     return rows
 
 
-@pytest.mark.parametrize("batch, growth, top", [(8, 8, 2000), (1, 1, 6), (1, 2, 25)])
-def test_phrases_are_the_plain_ones(spark, monkeypatch, batch, growth, top):
+@pytest.mark.parametrize("batch, step, top", [(8, 1, 2000), (1, 0.5, 6)])
+def test_phrases_are_the_plain_ones(spark, monkeypatch, batch, step, top):
     monkeypatch.setattr(C, "BATCH", batch)
-    monkeypatch.setattr(C, "GROWTH", growth)
+    monkeypatch.setattr(C, "STEP", step)
     rows = corpus(batch + top, 300)
     wanted = plain(rows, top, 12)
     assert wanted and got(C.collocations(table(spark, rows), top, 12)) == wanted
