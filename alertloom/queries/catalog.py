@@ -30,7 +30,7 @@ from alertloom.queries import inputs
 from alertloom.queries.backends import backend_factory
 from alertloom.queries.inputs import AS_OF, SEED, table
 from alertloom.session import scratch_path, settle
-from alertloom.sources import readers, sinks
+from alertloom.sources import keys, readers, sinks, snapshots
 from alertloom.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -839,6 +839,32 @@ def key_state_files(spark, folder):
     return readers.read_seen(spark, path)
 
 
+@query
+def key_store_rounds(spark, folder):
+    """Ten runs that overlap, each adding what no earlier run has seen; the run that a key came with."""
+    root = scratch_path(spark, "rounds")
+    rows = table(spark, folder, "events").select("event_id", F.col("user_id").alias("key"))
+    firsts = rows.groupBy(F.pmod("event_id", F.lit(10)).alias("run"), "key").agg(F.min("event_id").alias("event_id"))
+    for number in range(10):
+        own = firsts.filter(F.col("run") == number).select("key", "event_id", "run")
+        held = keys.commit_new(own, root, "key", batch=number)
+    return held.read(spark, "data", own.schema)
+
+
+@query
+def atomic_commit(spark, folder):
+    """Two loads of orders that overlap; the second fails before its keys are written, and is repeated."""
+    root = scratch_path(spark, "commits")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    numbered = orders.withColumn("load", F.lit(1))
+    first = keys.commit_new(numbered.filter("o_orderkey % 3 < 2"), root, "o_orderkey", batch=1)
+    again = orders.withColumn("load", F.lit(2)).filter("o_orderkey % 3 > 0")
+    snapshots.stage(first, "data", again.write.parquet)  # the failed attempt: no version names it
+    keys.commit_new(again, root, "o_orderkey", batch=2)
+    keys.commit_new(again, root, "o_orderkey", batch=2)
+    return snapshots.snapshot(spark, root).read(spark, "data", numbered.schema)
+
+
 @query
 def table_writes(spark, folder):
     """A table replaced by itself, then appended to, then given the keys it lacks."""
@@ -1021,10 +1047,8 @@ def stream_to_table(spark, folder):
     """First record of each key, in order of event id, with the keys in a table."""
     paths = ingest.scratch(spark, "stream-table")
     stream = _event_stream(spark, folder).drop("landed_at")
-    ingest.stream_to_table(
-        stream, paths["data"], paths["keys"], paths["state"], order=[F.col("event_id")]
-    )
-    return spark.read.parquet(paths["data"]).select("source_url", "event_id")
+    ingest.stream_to_table(stream, paths["data"], paths["state"], order=[F.col("event_id")])
+    return ingest.read_streamed(spark, paths["data"], stream.schema).select("source_url", "event_id")
 
 
 # --- matching ----------------------------------------------------------------

@@ -1078,6 +1078,15 @@ oracle(
 
 STREAM_URL = "'https://records.invalid/' || user_id || '/' || props"
 oracle("stream_new_only", f"SELECT DISTINCT {STREAM_URL} AS source_url FROM events")
+oracle(
+    "key_store_rounds",
+    "SELECT user_id AS key, event_id, run FROM (SELECT user_id, event_id % 10 AS run, min(event_id) AS event_id "
+    "FROM events GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY run) = 1",
+)
+oracle(
+    "atomic_commit",
+    "SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 3 < 2 THEN 1 ELSE 2 END AS load FROM orders",
+)
 oracle(
     "stream_to_table",
     f"SELECT {STREAM_URL} AS source_url, min(event_id) AS event_id FROM events GROUP BY 1",

@@ -11,13 +11,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from alertloom.operators import harvest
 from alertloom.session import scratch_path
-from alertloom.sources import readers
+from alertloom.sources import keys as key_store
+from alertloom.sources import snapshots
 
 KEY = "source_url"
 SALTS = 8
-# Folders of the key table, by hash of the key; a batch reads those of its own keys.
-KEY_PARTS = 32
-PART = "part"
 
 
 def read_landed_stream(
@@ -94,63 +92,29 @@ def run_to_table(stream: DataFrame, path: str, state: str) -> StreamingQuery:
     return query
 
 
-def key_part(key: str) -> Column:
-    """The folder of the key table that a key belongs to."""
-    return F.pmod(F.xxhash64(key), F.lit(KEY_PARTS)).cast("int")
-
-
-def seen_by_batch(batch: DataFrame, batch_id: int, keys: str, key: str) -> DataFrame:
-    """Keys of earlier batches, from the folders that the batch's own keys fall in."""
-    parts = [r[0] for r in batch.select(key_part(key)).distinct().collect()]
-    columns = [batch.schema[key], T.StructField(PART, T.IntegerType())]
-    schema = T.StructType([*columns, T.StructField("batch", T.LongType())])
-    seen = batch.sparkSession.read.schema(schema).parquet(keys)
-    return seen.filter(F.col(PART).isin(parts) & (F.col("batch") < batch_id)).select(key)
-
-
 def write_new(
-    batch: DataFrame,
-    batch_id: int,
-    data: str,
-    keys: str,
-    key: str,
-    order: Sequence[Column],
+    batch: DataFrame, batch_id: int, root: str, key: str, order: Sequence[Column]
 ) -> None:
-    """One micro-batch: first per key, not seen in earlier batches, data then keys.
+    """One micro-batch: first per key, not seen in earlier batches; rows and keys in one version.
 
-    A retried batch replaces its own data folder and its own part of each key folder;
-    keys that a failed attempt left do not count as seen.
+    A batch that was committed before adds nothing; of one that failed nothing can be seen.
     """
-    spark = batch.sparkSession
-    firsts = harvest.first_wins(batch, order, key)
-    if readers.path_exists(spark, keys):
-        firsts = harvest.new_only(firsts, seen_by_batch(batch, batch_id, keys, key), key)
-    target = f"{data}/batch={batch_id}"
-    firsts.select(*batch.columns).write.mode("overwrite").parquet(target)
-    written = spark.read.schema(batch.schema).parquet(target)
-    (
-        written.select(key, key_part(key).alias(PART), F.lit(batch_id).alias("batch"))
-        .repartition(PART)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PART, "batch")
-        .parquet(keys)
-    )
+    firsts = harvest.first_wins(batch, order, key).select(*batch.columns)
+    key_store.commit_new(firsts, root, key, batch=batch_id)
 
 
 def stream_to_table(
     stream: DataFrame,
-    data: str,
-    keys: str,
+    root: str,
     state: str,
     key: str = KEY,
     order: Sequence[Column] = (),
 ) -> StreamingQuery:
-    """New records of everything that has landed, with the keys in a table."""
+    """New records of everything that has landed, in the part `data` below `root`, beside their keys."""
     chosen = list(order) or [F.col(key)]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_new(batch, batch_id, data, keys, key, chosen)
+        write_new(batch, batch_id, root, key, chosen)
 
     query = (
         stream.writeStream.foreachBatch(write)
@@ -162,6 +126,11 @@ def stream_to_table(
     return query
 
 
+def read_streamed(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """The rows of the newest version."""
+    return snapshots.snapshot(spark, root).read(spark, "data", schema)
+
+
 def scratch(spark: SparkSession, name: str) -> dict[str, str]:
     """Fresh paths for a run that keeps nothing."""
-    return {part: scratch_path(spark, f"{name}-{part}") for part in ("data", "keys", "state")}
+    return {part: scratch_path(spark, f"{name}-{part}") for part in ("data", "state")}
