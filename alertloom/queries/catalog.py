@@ -30,7 +30,7 @@ from alertloom.queries import inputs
 from alertloom.queries.backends import backend_factory
 from alertloom.queries.inputs import AS_OF, SEED, table
 from alertloom.session import scratch_path, settle
-from alertloom.sources import keys, readers, sinks, snapshots
+from alertloom.sources import keys, phrases, readers, sinks, snapshots
 from alertloom.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1074,6 +1074,28 @@ def affected_documents(spark, folder):
     return match.affected_documents(probes, table(spark, folder, "documents"))
 
 
+def _probes(spark: SparkSession, folder: str) -> DataFrame:
+    """Opening words of benchmark passages, of any number."""
+    opening = match.plain_words(F.col("text"))
+    lengths = F.array(F.lit(1), F.lit(2), F.lit(4), F.lit(9))
+    cut = F.transform(lengths, lambda n: F.array_join(F.slice(F.split(opening, " "), 1, n), " "))
+    return table(spark, folder, "benchmark").select(F.explode(F.array_append(cut, opening)).alias("clinical_entity"))
+
+
+@query
+def phrase_index(spark, folder):
+    """Passages found from an index to which documents are added in three runs, some of them changed since."""
+    root = scratch_path(spark, "phrase-index")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    old = docs.withColumn("text", F.when(F.col("doc_id") % 5 == 0, F.upper(F.reverse("text"))).otherwise(F.col("text")))
+    phrases.add(old.filter("doc_id % 3 < 2"), root)
+    phrases.add(docs.filter("doc_id % 3 = 2"), root)
+    phrases.add(docs.filter("doc_id % 5 = 0"), root)
+    held = phrases.remove(docs.filter("doc_id % 7 = 0"), root)
+    found = phrases.find(_probes(spark, folder), held, docs.schema["doc_id"])
+    return found.select("clinical_entity", "doc_id", F.size("starts").cast("long").alias("times"))
+
+
 @query
 def vector_topk(spark, folder):
     near = match.vector_topk(table(spark, folder, "embeddings"), 0, 10)

@@ -1105,6 +1105,16 @@ oracle(
     "FROM documents) SELECT clinical_entity, doc_id FROM e JOIN d "
     "ON contains(body, ' ' || clinical_entity || ' ')",
 )
+oracle(
+    "phrase_index",
+    f"WITH b AS (SELECT {WORDS} AS w FROM benchmark), "
+    "e AS (SELECT DISTINCT w[1:n] AS p FROM b, (VALUES (1), (2), (4), (9), (1000000)) v(n)), "
+    f"d AS (SELECT doc_id, {WORDS} AS w FROM documents WHERE doc_id % 7 <> 0), "
+    "t AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d), "
+    "f AS (SELECT p, doc_id, i FROM e JOIN t ON t.word = p[1]) "
+    "SELECT array_to_string(p, ' ') AS clinical_entity, f.doc_id, count(*) AS times "
+    "FROM f JOIN d ON d.doc_id = f.doc_id AND d.w[i:i + len(p) - 1] = p GROUP BY ALL",
+)
 oracle(
     "vector_topk",
     "WITH q AS (SELECT embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id = 0) "
