@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -58,6 +58,12 @@ def match_term_table(df: DataFrame, values: Column, terms: DataFrame) -> DataFra
     return df.withColumn(TERM, F.explode(lowered)).join(ranked, TERM)
 
 
+def _named_values(terms: Sequence[str], column: Callable[[str], str]) -> Column:
+    """A row's values of the fields that terms of the form ``field:value`` name, in that form."""
+    fields = list(dict.fromkeys(t.split(":", 1)[0] for t in terms))
+    return F.array(*[F.concat(F.lit(f"{field}:"), F.col(column(field))) for field in fields])
+
+
 def match_trials(
     trials: DataFrame, limit: int | None = None, every: bool = True
 ) -> DataFrame:
@@ -74,18 +80,21 @@ def match_trials(
 def match_events(
     reports: DataFrame, limit: int | None = None, every: bool = True
 ) -> DataFrame:
-    """Reports with a wanted reaction."""
-    reactions = F.col("patient.reaction.reactionmeddrapt")
-    terms = first_terms(fixed.EVENT_REACTIONS, limit)
-    return match_terms(reports, reactions, terms, every)
+    """Reports with a wanted reaction, then those with a flag of seriousness set."""
+    reactions = F.coalesce(F.col("patient.reaction.reactionmeddrapt"), F.array().cast("array<string>"))
+    flags = _named_values(fixed.EVENT_FLAGS, lambda field: field)
+    terms = first_terms([*fixed.EVENT_REACTIONS, *fixed.EVENT_FLAGS], limit)
+    return match_terms(reports, F.concat(reactions, flags), terms, every)
 
 
 def match_recalls(
     recalls: DataFrame, limit: int | None = None, every: bool = True
 ) -> DataFrame:
-    """Recalls with a wanted root cause."""
-    terms = first_terms(fixed.RECALL_CAUSES, limit)
-    return match_terms(recalls, F.array("root_cause_description"), terms, every)
+    """Recalls with a wanted root cause, then those of a wanted class."""
+    classes = _named_values(fixed.RECALL_CLASSES, lambda field: "classification")
+    terms = first_terms([*fixed.RECALL_CAUSES, *fixed.RECALL_CLASSES], limit)
+    values = F.concat(F.array("root_cause_description"), classes)
+    return match_terms(recalls, values, terms, every)
 
 
 def match_labels(

@@ -157,6 +157,8 @@ def _report_columns(received: str) -> dict[str, str]:
         "receivedate": received,
         "serious": "CASE l_returnflag WHEN 'A' THEN '1' WHEN 'N' THEN '2' END",
         "seriousnessother": "CASE WHEN l_linestatus = 'F' THEN '1' ELSE '2' END",
+        "seriousnesshospitalization": _choose(("1", "2", None), "l_partkey % 3"),
+        "seriousnesslifethreatening": "CASE WHEN l_suppkey % 11 = 0 THEN '1' END",
         "reporttype": _text("l_partkey % 6"),
         "fulfillexpeditecriteria": _choose(("1", "2", None), "l_suppkey % 3"),
         "occurcountry": _choose(("US", None), "l_suppkey % 2"),

@@ -602,8 +602,8 @@ def ranked(terms: Sequence[str]) -> str:
 
 
 TRIAL_TERMS = ranked(records.TRIAL_CONDITIONS)
-EVENT_TERMS = ranked(records.EVENT_REACTIONS)
-RECALL_TERMS = ranked([c.lower() for c in records.RECALL_CAUSES])
+EVENT_TERMS = ranked([*records.EVENT_REACTIONS, *records.EVENT_FLAGS])
+RECALL_TERMS = ranked([c.lower() for c in (*records.RECALL_CAUSES, *records.RECALL_CLASSES)])
 LABEL_LIST = list(
     {d: c for c, ds in reversed(records.LABEL_DRUGS.items()) for d in reversed(ds)}.items()
 )[::-1]
@@ -621,11 +621,14 @@ MATCHED_TRIALS = (
 )
 MATCHED_EVENTS = (
     f"SELECT rep.*, term, term_rank FROM rep, {EVENT_TERMS} "
-    "WHERE list_contains([lower(t) for t in terms], term)"
+    "WHERE list_contains([lower(t) for t in terms], term) OR (term = 'serious:1' AND serious = '1') "
+    "OR (term = 'seriousnesshospitalization:1' AND seriousnesshospitalization = '1') "
+    "OR (term = 'seriousnesslifethreatening:1' AND seriousnesslifethreatening = '1')"
 )
 MATCHED_RECALLS = (
     f"SELECT rcl.*, term, term_rank FROM rcl, {RECALL_TERMS} "
-    "WHERE lower(root_cause_description) = term"
+    "WHERE lower(root_cause_description) = term "
+    "OR 'product_classification:' || lower(classification) = term"
 )
 MATCHED_LABELS = (
     "SELECT source_pos, setid, term AS drug_name, list_category AS category, term, "

@@ -33,7 +33,8 @@ DRUG = record(
 REACTION = record(**texts("reactionmeddrapt reactionoutcome"))
 EVENT_REPORT = record(
     **texts(
-        "safetyreportid receivedate serious seriousnessother reporttype "
+        "safetyreportid receivedate serious seriousnessother "
+        "seriousnesshospitalization seriousnesslifethreatening reporttype "
         "fulfillexpeditecriteria occurcountry companynumb"
     ),
     primarysource=record(qualification=TEXT),

@@ -120,3 +120,29 @@ def test_without_caps_every_record_comes_once(spark):
     new = plan.new_records(feed, None, DAY, caps=plan.Caps(None, None, None, None))
     assert new.count() == 15
     assert {r.term_rank for r in new.select("term_rank").collect()} == {2}
+
+
+def test_reports_and_recalls_found_by_flag_and_class(spark):
+    rows = [("a", "1", None, None), ("b", "2", "1", [("Rash",)]), ("c", None, "0", None), ("d", "1", None, [("rash",), (None,)])]
+    reports = spark.createDataFrame(
+        [(i, s, h, None, (r,)) for i, s, h, r in rows],
+        "id string, serious string, seriousnesshospitalization string, seriousnesslifethreatening string, "
+        "patient struct<reaction: array<struct<reactionmeddrapt: string>>>",
+    )
+    found = sorted((r.id, r.term, r.term_rank) for r in harvest.match_events(reports).collect())
+    assert found == [
+        ("a", "serious:1", 7),
+        ("b", "rash", 6),
+        ("b", "seriousnesshospitalization:1", 8),
+        ("d", "rash", 6),
+        ("d", "serious:1", 7),
+    ]
+    first = sorted((r.id, r.term) for r in harvest.match_events(reports, every=False).collect())
+    assert first == [("a", "serious:1"), ("b", "rash"), ("d", "rash")]
+    assert harvest.match_events(reports, 6).count() == 2
+    recalls = spark.createDataFrame(
+        [("x", "Software", "II"), ("y", None, "III"), ("z", "other", "I"), ("v", None, None)],
+        "id string, root_cause_description string, classification string",
+    )
+    found = sorted((r.id, r.term_rank) for r in harvest.match_recalls(recalls).collect())
+    assert found == [("x", 2), ("x", 4), ("y", 5)]
