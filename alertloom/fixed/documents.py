@@ -266,3 +266,223 @@ For internal use only
 Last updated: {revised}
 Next review date: {next_review}
 """
+
+# --- fixed values: documents laid out on pages, as their text -----------------
+# Of each slot: the field and what stands there if the field is null, or the options.
+PAGE_AGE_DAYS = {
+    "medication_protocol": (180, 730),
+    "formulary_entry": (180, 730),
+    "clinical_guideline": (365, 1095),
+    "device_manual": (180, 730),
+    "nursing_protocol": (180, 730),
+}
+PROTOCOL_SUBJECT_DEFAULT = "Medication"
+PROTOCOL_FIELDS = {
+    "review_date": ("compliance_deadline", ""),
+    "therapeutic_class": ("therapeutic_class", "Not specified"),
+    "risk_level": ("risk_level", "Medium"),
+    "old_dosage": ("old_dosage", "Standard dosing as per manufacturer guidelines"),
+    "old_warning": ("old_warning", "Standard monitoring protocols apply"),
+    "patient_population": ("patient_population", "Adult patients 18+ years"),
+    "contraindications": ("contraindications", "Standard contraindications apply"),
+    "adverse_events": ("adverse_events", "Monitor for standard adverse effects"),
+    "mechanism_of_action": ("mechanism_of_action", "complex pharmacological pathways"),
+    "condition": ("condition", "appropriate patient populations"),
+}
+PROTOCOL_CHOICES = {
+    "route": ("Oral", "IV", "IM", "Subcutaneous"),
+    "frequency": ("Once daily", "Twice daily", "Three times daily", "As needed"),
+    "duration": ("7 days", "14 days", "30 days", "Until discontinued"),
+}
+PROTOCOL = """{title}
+{underline}
+
+Document Control Information
+Document ID: MED-PROT-{number}
+Effective Date: {approved}
+Review Date: {review_date}
+Therapeutic Class: {therapeutic_class}
+Risk Level: {risk_level}
+
+Standard Dosing Protocol
+Current Standard Dose: {old_dosage}
+Monitoring Requirements: {old_warning}
+
+Administration Guidelines
+Route of Administration: {route}
+Frequency: {frequency}
+Duration: {duration}
+Patient Population: {patient_population}
+
+Contraindications and Precautions
+Contraindications: {contraindications}
+Adverse Events: {adverse_events}
+
+Detailed Clinical Considerations
+
+Patient Monitoring Protocol
+Regular monitoring is essential for safe administration of {subject}.
+Current protocols require {old_warning}. Healthcare providers should assess
+patient response and adjust therapy accordingly. Baseline laboratory values
+should be obtained prior to initiation.
+The mechanism of action involves {mechanism_of_action}.
+Clinical efficacy has been demonstrated in {condition}.
+
+Special Populations
+Elderly Patients: Dose adjustment may be required based on renal function and overall health status.
+Pediatric Patients: Safety and efficacy not established in patients under 18 years.
+Pregnancy: Use only if potential benefit justifies potential risk to fetus.
+Nursing Mothers: Exercise caution when administering to nursing women.
+
+Last revised: {revised}
+"""
+MANUAL_SUBJECT_DEFAULT = "Medical Device"
+MANUAL_FIELDS = {
+    "manufacturer": ("manufacturer", "Medical Device Corp"),
+    "regulatory_status": ("regulatory_status", "FDA Cleared"),
+    "old_warning": ("old_warning", "Standard operating procedures apply"),
+    "old_indication": ("old_indication", "As indicated in original labeling"),
+    "contraindications": ("contraindications", "Standard contraindications apply"),
+    "risk_level": ("risk_level", "None"),
+}
+MANUAL_CHOICES = {
+    "major": ("1", "2", "3", "4", "5"),
+    "minor": ("0", "1", "2", "3", "4", "5", "6", "7", "8", "9"),
+    "calibration": ("Daily", "Weekly", "Monthly", "Quarterly"),
+    "maintenance": ("Monthly", "Quarterly", "Semi-annually", "Annually"),
+}
+MANUAL_RECALL = """
+IMPORTANT SAFETY NOTICE
+RECALL NOTICE: This device has been subject to a recall.
+Reason: {recall_reason}
+Risk Level: {risk_level}
+Please discontinue use immediately and contact the manufacturer.
+"""
+MANUAL = """{title}
+{underline}
+
+Device Information
+Model Number: MDL-{number}
+Manufacturer: {manufacturer}
+FDA Status: {regulatory_status}
+Classification: Class II Medical Device
+Manual Version: v{major}.{minor}
+
+Operating Instructions
+Current Operating Protocol: {old_warning}
+
+Safety Information
+WARNING: This device should only be operated by trained medical personnel.
+Failure to follow proper procedures may result in patient harm or device malfunction.
+Indications for Use: {old_indication}
+Contraindications: {contraindications}
+{recall}
+Maintenance and Calibration
+Regular maintenance is essential for proper device function. Follow manufacturer
+guidelines for calibration and preventive maintenance. Inspect device daily
+for signs of wear or damage.
+Calibration Schedule: {calibration}
+Preventive Maintenance: {maintenance}
+"""
+GUIDELINE_SUBJECT_DEFAULT = "Medical Condition"
+GUIDELINE_FIELDS = {
+    "patient_population": ("patient_population", "Adult patients"),
+    "old_dosage": ("old_dosage", "As per manufacturer guidelines"),
+    "monitoring": ("old_warning", "Standard monitoring applies"),
+    "intervals": ("old_warning", "standard monitoring intervals"),
+    "old_indication": ("old_indication", "standard therapeutic approaches"),
+    "contraindications": ("contraindications", "standard contraindications"),
+    "adverse_events": ("adverse_events", "expected adverse effects"),
+}
+GUIDELINE_CHOICES = {"grade": ("Grade A", "Grade B", "Grade C")}
+GUIDELINE_DRUG = """First-line Therapy: {drug_name}
+Recommended Dosing: {old_dosage}
+Monitoring: {monitoring}
+"""
+GUIDELINE = """{title}
+{underline}
+
+Clinical Practice Guideline
+Condition: {subject}
+Target Population: {patient_population}
+Evidence Level: {grade}
+Last Updated: {revised}
+
+Treatment Recommendations
+{therapy}
+Clinical Evidence Summary
+Current evidence supports the use of established treatment protocols for {subject}.
+Clinical trials have demonstrated efficacy with {old_indication}.
+Contraindications include {contraindications}.
+Clinicians should monitor for {adverse_events}.
+
+Detailed Clinical Management
+
+Diagnostic Criteria
+Diagnosis of {subject} should be based on clinical presentation, laboratory findings,
+and imaging studies as appropriate. Consider differential diagnoses and comorbid conditions.
+Key diagnostic features include:
+• Clinical symptoms consistent with {subject}
+• Laboratory abnormalities as expected
+• Imaging findings supportive of diagnosis
+• Response to therapeutic interventions
+
+Therapeutic Monitoring
+Ongoing monitoring is essential for optimal patient outcomes. Current protocols
+recommend {intervals}.
+Patients should be assessed regularly for:
+• Treatment efficacy
+• Adverse effects
+• Disease progression
+• Need for therapy modification
+"""
+NURSING_SUBJECT_DEFAULT = "Patient Care"
+NURSING_FIELDS = {
+    "review_date": ("compliance_deadline", ""),
+    "risk_level": ("risk_level", "Medium"),
+    "care_level": ("risk_level", "Standard"),
+    "patient_population": ("patient_population", "Adult patients"),
+    "old_dosage": ("old_dosage", "As ordered by physician"),
+    "condition": ("condition", "As diagnosed"),
+    "old_warning": ("old_warning", "Standard monitoring protocols"),
+    "contraindications": ("contraindications", "Standard contraindications"),
+    "adverse_events": ("adverse_events", "Standard adverse events"),
+}
+NURSING_CHOICES = {
+    "route": ("PO", "IV", "IM", "SQ"),
+    "frequency": ("QD", "BID", "TID", "QID", "PRN"),
+    "assessment": ("Q4H", "Q8H", "Q12H", "Daily", "PRN"),
+}
+NURSING_DRUG = """Medication Administration:
+• Drug: {drug_name}
+• Dosage: {old_dosage}
+• Route: {route}
+• Frequency: {frequency}
+"""
+NURSING_CARE = """Patient Care Protocol:
+• Condition: {condition}
+• Care level: {care_level}
+"""
+NURSING = """{title}
+{underline}
+
+Nursing Protocol Information
+Protocol ID: NP-{number}
+Effective Date: {updated}
+Review Date: {review_date}
+Risk Level: {risk_level}
+Patient Population: {patient_population}
+
+Care Instructions
+{care}
+Monitoring and Assessment
+Required Monitoring: {old_warning}
+Assessment Frequency: {assessment}
+Vital Signs: Monitor per unit protocol
+Laboratory: As ordered by physician
+
+Safety Considerations
+Contraindications: {contraindications}
+Adverse Events to Monitor: {adverse_events}
+Emergency Actions: Follow unit emergency protocols
+"""

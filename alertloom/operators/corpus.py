@@ -123,17 +123,90 @@ def research_summary(
     return text.fill(fixed.SUMMARY, values)
 
 
+def _page_values(
+    template: str,
+    subject: Column,
+    fields: Mapping[str, tuple[str, str]],
+    choices: Mapping[str, Sequence[str]],
+    keys: Sequence[Column],
+    as_of: dt.date | str,
+    seed: int | str,
+) -> dict[str, Column]:
+    """The slots of a document laid out on pages: fields with defaults, and choices by the row's key."""
+    values = _frame(template, subject, keys, as_of, fixed.PAGE_AGE_DAYS[template], seed)
+    values |= {slot: F.coalesce(F.col(name), F.lit(default)) for slot, (name, default) in fields.items()}
+    return values | {
+        slot: seeded.choice(options, *keys, seed=f"{seed}-{template}-{slot}") for slot, options in choices.items()
+    }
+
+
+def medication_protocol(
+    keys: Sequence[Column],
+    as_of: dt.date | str,
+    seed: int | str = 42,
+    template: str = "medication_protocol",
+) -> Column:
+    """Also the form of a formulary entry, which differs by its title."""
+    subject = F.coalesce(F.col("drug_name"), F.lit(fixed.PROTOCOL_SUBJECT_DEFAULT))
+    values = _page_values(template, subject, fixed.PROTOCOL_FIELDS, fixed.PROTOCOL_CHOICES, keys, as_of, seed)
+    today = F.date_format(dates.day(as_of), dates.ISO_FORMAT)
+    values["approved"] = F.coalesce(F.col("fda_approval_date"), today)
+    return text.fill(fixed.PROTOCOL, values)
+
+
+def device_manual(keys: Sequence[Column], as_of: dt.date | str, seed: int | str = 42) -> Column:
+    """A recalled device has a notice before the part on maintenance."""
+    subject = F.coalesce(F.col("device_name"), F.lit(fixed.MANUAL_SUBJECT_DEFAULT))
+    values = _page_values(
+        "device_manual", subject, fixed.MANUAL_FIELDS, fixed.MANUAL_CHOICES, keys, as_of, seed
+    )
+    reason = F.col("recall_reason")
+    notice = text.fill(fixed.MANUAL_RECALL, values | {"recall_reason": reason})
+    values["recall"] = F.when(text.is_filled(reason), notice).otherwise("")
+    return text.fill(fixed.MANUAL, values)
+
+
+def clinical_guideline(keys: Sequence[Column], as_of: dt.date | str, seed: int | str = 42) -> Column:
+    """Recommends a therapy where the record names a drug."""
+    subject = F.coalesce(F.col("condition"), F.lit(fixed.GUIDELINE_SUBJECT_DEFAULT))
+    values = _page_values(
+        "clinical_guideline", subject, fixed.GUIDELINE_FIELDS, fixed.GUIDELINE_CHOICES, keys, as_of, seed
+    )
+    drug = F.col("drug_name")
+    therapy = text.fill(fixed.GUIDELINE_DRUG, values | {"drug_name": drug})
+    values["therapy"] = F.when(text.is_filled(drug), therapy).otherwise("")
+    return text.fill(fixed.GUIDELINE, values)
+
+
+def nursing_protocol(keys: Sequence[Column], as_of: dt.date | str, seed: int | str = 42) -> Column:
+    """How to give the drug, or how to care for the condition where no drug is named."""
+    drug = F.col("drug_name")
+    subject = text.first_filled([drug], F.col("condition"), fixed.NURSING_SUBJECT_DEFAULT)
+    values = _page_values(
+        "nursing_protocol", subject, fixed.NURSING_FIELDS, fixed.NURSING_CHOICES, keys, as_of, seed
+    )
+    today = F.date_format(dates.day(as_of), dates.ISO_FORMAT)
+    values["updated"] = F.coalesce(F.col("update_date").cast("string"), today)
+    given = text.fill(fixed.NURSING_DRUG, values | {"drug_name": drug})
+    values["care"] = F.when(text.is_filled(drug), given).otherwise(text.fill(fixed.NURSING_CARE, values))
+    return text.fill(fixed.NURSING, values)
+
+
 def document_text(
     keys: Sequence[Column], as_of: dt.date | str, seed: int | str = 42
 ) -> Column:
-    """Text of the routed template; null for the formats that are not text."""
-    return (
-        F.when(F.col(TEMPLATE) == "training_memo", training_memo(keys, as_of, seed))
-        .when(F.col(TEMPLATE) == "safety_alert", safety_alert(keys, as_of, seed))
-        .when(
-            F.col(TEMPLATE) == "research_summary", research_summary(keys, as_of, seed)
-        )
-    )
+    """Text of the routed template. Those laid out on pages have their text, without the layout."""
+    texts = {
+        "training_memo": training_memo(keys, as_of, seed),
+        "safety_alert": safety_alert(keys, as_of, seed),
+        "research_summary": research_summary(keys, as_of, seed),
+        "medication_protocol": medication_protocol(keys, as_of, seed),
+        "formulary_entry": medication_protocol(keys, as_of, seed, "formulary_entry"),
+        "device_manual": device_manual(keys, as_of, seed),
+        "clinical_guideline": clinical_guideline(keys, as_of, seed),
+        "nursing_protocol": nursing_protocol(keys, as_of, seed),
+    }
+    return F.coalesce(*[F.when(F.col(TEMPLATE) == name, body) for name, body in texts.items()])
 
 
 def age_days(keys: Sequence[Column], years: int, seed: int | str = 42) -> Column:

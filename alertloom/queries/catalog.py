@@ -718,6 +718,20 @@ def render_summary(spark, folder):
     )
 
 
+@query
+def render_pages(spark, folder):
+    """The five documents that are laid out on pages, as text, each for every record."""
+    keys = _keys()
+    return inputs.records(spark, folder).select(
+        "p_partkey",
+        corpus.medication_protocol(keys, AS_OF, SEED).alias("medication_protocol"),
+        corpus.medication_protocol(keys, AS_OF, SEED, "formulary_entry").alias("formulary_entry"),
+        corpus.device_manual(keys, AS_OF, SEED).alias("device_manual"),
+        corpus.clinical_guideline(keys, AS_OF, SEED).alias("clinical_guideline"),
+        corpus.nursing_protocol(keys, AS_OF, SEED).alias("nursing_protocol"),
+    )
+
+
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return corpus.documents(
         inputs.records(spark, folder), ["p_partkey"], AS_OF, 5, SEED

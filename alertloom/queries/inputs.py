@@ -382,6 +382,7 @@ _RECORD_COLUMNS = {
     "clinical_significance": _sometimes("significance", 3),
     "patient_safety_impact": _sometimes("impact", 2),
     "compliance_deadline": _sometimes("deadline", 1),
+    "update_date": _sometimes("updated in week", 3),
 }
 
 

@@ -856,9 +856,51 @@ SUMMARY = fill(
         "next_review": f"strftime({day('365')}, '%B %Y')",
     },
 )
+
+
+def page(template: str, subject: str, fields: Mapping, choices: Mapping) -> dict[str, str]:
+    values = frame(template, subject, documents.PAGE_AGE_DAYS[template])
+    values |= {slot: f"coalesce(CAST({name} AS VARCHAR), {lit(default)})" for slot, (name, default) in fields.items()}
+    return values | {
+        slot: choice(options, "p_partkey", seed=f"{SEED}-{template}-{slot}") for slot, options in choices.items()
+    }
+
+
+def page_texts() -> dict[str, str]:
+    texts = {}
+    drug = f"coalesce(drug_name, {lit(documents.PROTOCOL_SUBJECT_DEFAULT)})"
+    for template in ("medication_protocol", "formulary_entry"):
+        values = page(template, drug, documents.PROTOCOL_FIELDS, documents.PROTOCOL_CHOICES)
+        values["approved"] = f"coalesce(fda_approval_date, {iso(day())})"
+        texts[template] = fill(documents.PROTOCOL, values)
+    device = f"coalesce(device_name, {lit(documents.MANUAL_SUBJECT_DEFAULT)})"
+    values = page("device_manual", device, documents.MANUAL_FIELDS, documents.MANUAL_CHOICES)
+    notice = fill(documents.MANUAL_RECALL, values | {"recall_reason": "recall_reason"})
+    values["recall"] = f"CASE WHEN {filled('recall_reason')} THEN {notice} ELSE '' END"
+    texts["device_manual"] = fill(documents.MANUAL, values)
+    condition = f"coalesce(condition, {lit(documents.GUIDELINE_SUBJECT_DEFAULT)})"
+    values = page("clinical_guideline", condition, documents.GUIDELINE_FIELDS, documents.GUIDELINE_CHOICES)
+    therapy = fill(documents.GUIDELINE_DRUG, values | {"drug_name": "drug_name"})
+    values["therapy"] = f"CASE WHEN {filled('drug_name')} THEN {therapy} ELSE '' END"
+    texts["clinical_guideline"] = fill(documents.GUIDELINE, values)
+    procedure = (
+        f"CASE WHEN {filled('drug_name')} THEN drug_name "
+        f"ELSE coalesce(condition, {lit(documents.NURSING_SUBJECT_DEFAULT)}) END"
+    )
+    values = page("nursing_protocol", procedure, documents.NURSING_FIELDS, documents.NURSING_CHOICES)
+    values["updated"] = f"coalesce(CAST(update_date AS VARCHAR), {iso(day())})"
+    given = fill(documents.NURSING_DRUG, values | {"drug_name": "drug_name"})
+    values["care"] = f"CASE WHEN {filled('drug_name')} THEN {given} ELSE {fill(documents.NURSING_CARE, values)} END"
+    texts["nursing_protocol"] = fill(documents.NURSING, values)
+    return texts
+
+
+PAGE_TEXTS = page_texts()
 TEXT = (
     f"CASE template WHEN 'training_memo' THEN {MEMO} WHEN 'safety_alert' THEN {ALERT} "
-    f"WHEN 'research_summary' THEN {SUMMARY} END"
+    f"WHEN 'research_summary' THEN {SUMMARY} "
+    + " ".join(f"WHEN {lit(name)} THEN {body}" for name, body in PAGE_TEXTS.items())
+    + " END"
 )
 oracle("template_route", f"{REC} SELECT p_partkey, {ROUTE} AS template FROM rec")
 oracle(
@@ -870,6 +912,10 @@ oracle(
 )
 oracle("render_memo", f"{REC} SELECT p_partkey, {MEMO} AS text FROM rec")
 oracle("render_alert", f"{REC} SELECT p_partkey, {ALERT} AS text FROM rec")
+oracle(
+    "render_pages",
+    f"{REC} SELECT p_partkey, " + ", ".join(f"{body} AS {name}" for name, body in PAGE_TEXTS.items()) + " FROM rec",
+)
 oracle("render_summary", f"{REC} SELECT p_partkey, {SUMMARY} AS text FROM rec")
 NAME_SUBJECT = MEMO_SUBJECT.replace("'Clinical Update'", "'clinical'")
 WRITTEN = iso(day(f"-{between(30, 1825, 'p_partkey', seed=f'{SEED}-age')}"))
