@@ -122,15 +122,19 @@ def cap_per_group(
 ) -> DataFrame:
     """The first ``cap`` rows of each group; all rows if there is no cap.
 
-    Each group is cut twice: first in parts, dealt by a hash of the order, then
-    as a whole, so that of a large group only ``cap`` rows of each part meet in
-    one task, whatever the cap. Rows alike in the order count as one place, and
-    are taken or left together.
+    Spark cuts a group in each task before the shuffle, up to a cap that a setting
+    names. Beyond that each group is cut twice: first in parts, dealt by a hash of
+    the order, then as a whole. Either way only ``cap`` rows of each part of a large
+    group meet in one task. Rows alike in the order count as one place, and are
+    taken or left together.
     """
     if cap is None:
         return df
-    held = df.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(CAP_PARTS)))
-    for keys in ([*group, "_part"], list(group)):
+    held, cuts = df, [list(group)]
+    if cap >= int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        held = df.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(CAP_PARTS)))
+        cuts = [[*group, "_part"], list(group)]
+    for keys in cuts:
         places = Window.partitionBy(*keys).orderBy(*[F.asc_nulls_last(c) for c in order])
         held = held.withColumn("_rank", F.dense_rank().over(places)).filter(F.col("_rank") <= cap)
     return held.drop("_rank", "_part")

@@ -72,8 +72,14 @@ def impact_comparison(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     manual_units = (" mo", " hrs", "%", "K")
     automated_units = (" min", " hrs", "%", "K")
 
-    def label(value: Column, unit: str) -> Column:
-        return F.concat(text.decimals(value, 1), F.lit(unit))
+    # Labels are columns of their own first: within the rows each would be worked out
+    # once for every place it is used.
+    labels = {
+        f"_{kind}_{position}": F.concat(text.decimals(value, 1), F.lit(units[position]))
+        for kind, values, units in (("manual", manual, manual_units), ("automated", printed, automated_units))
+        for position, value in enumerate(values)
+    }
+    labelled = df.withColumns(labels)
 
     rows = [
         F.struct(
@@ -81,14 +87,12 @@ def impact_comparison(df: DataFrame, keep: Sequence[str]) -> DataFrame:
             F.lit(category).alias("category"),
             manual[position].alias("manual_value"),
             automated[position].alias("automated_value"),
-            label(manual[position], manual_units[position]).alias("manual_label"),
-            label(printed[position], automated_units[position]).alias(
-                "automated_label"
-            ),
+            F.col(f"_manual_{position}").alias("manual_label"),
+            F.col(f"_automated_{position}").alias("automated_label"),
         )
         for position, category in enumerate(fixed.COMPARISON)
     ]
-    return df.select(*keep, F.inline(F.array(*rows)))
+    return labelled.select(*keep, F.inline(F.array(*rows)))
 
 
 def stat_tiles(metrics: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -103,11 +107,12 @@ def stat_tiles(metrics: DataFrame, keep: Sequence[str]) -> DataFrame:
         F.lit(fixed.RISK_MITIGATION),
         F.concat(text.decimals(F.col("speed_up"), 0), F.lit("x Faster")),
     ]
+    figures = {f"_figure_{position}": value for position, value in enumerate(values)}
     rows = [
-        F.struct(F.lit(name).alias("tile"), value.alias("figure"))
-        for name, value in zip(fixed.TILES, values)
+        F.struct(F.lit(name).alias("tile"), F.col(figure).alias("figure"))
+        for name, figure in zip(fixed.TILES, figures)
     ]
-    return metrics.select(*keep, F.inline(F.array(*rows)))
+    return metrics.withColumns(figures).select(*keep, F.inline(F.array(*rows)))
 
 
 def annual_projection(metrics: DataFrame, keep: Sequence[str]) -> DataFrame:
