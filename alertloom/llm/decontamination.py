@@ -5,11 +5,11 @@ then stays or moves on as a fixed random table says for that step and character.
 small edit distance fall in step again after each edit, so their walks agree at most steps:
 edit distance becomes Hamming distance. A few steps are sampled and hashed to a key; equal
 keys of a document's window and an item's make a candidate, and several independent walks
-raise the recall. A window starts at any word and is as long as the item; the walk is followed
-for its first steps only, which never leave the window, and items are entered from each of
-their words on, so an edit spoils only the walks that cross it. Every candidate is then
-aligned with the whole item: the edits of the best place in the item-sized window and its
-margin decide.
+raise the recall. A window starts at any word, also behind punctuation, and is as long as the
+item; the walk is followed for its first steps only, and items are entered from each of their
+words on, so an edit spoils only the walks that cross it. Of a candidate a longer walk compares
+what lies before and behind the place; then it is aligned with the whole item: the edits of
+the best place in the item-sized window and its margin decide.
 """
 
 from __future__ import annotations
@@ -23,15 +23,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from alertloom.llm.rows import NAME, name_key, named
-from alertloom.llm.text import Buffer, buffers
+from alertloom.llm.text import SPACE, Buffer, buffers
 
 SIMILARITY = 0.8
-WALKS = 3
 SEED = 7
-# Steps of a walk, of which the early and the late ones are sampled. An item shorter than the
-# first form's steps takes the next form; the shortest are too short to tell, and are skipped.
-FORMS = ((20, 8, 48, 6), (10, 5, 24, 5), (6, 4, 12, 4))
+
+
+@dataclass(frozen=True)
+class Form:
+    """Steps of a walk, how many of the early and the late ones are sampled, and for which items.
+
+    A short walk meets fewer edits but more strangers. Walks and steps are those at which nine of
+    ten items or more were found with a fifth of their letters edited at random, but for items of
+    under 16 bytes and a few lengths (`tests/llm/test_recall.py`, README). Lengths are in bytes,
+    `below` is not included; between two forms items have both.
+    """
+
+    early_steps: int
+    early: int
+    steps: int
+    late: int
+    walks: int
+    least: int
+    below: int
+
+
+FORMS = (
+    Form(14, 7, 34, 6, 6, 72, 1 << 60),
+    Form(10, 6, 24, 6, 8, 24, 72),
+    Form(6, 4, 12, 4, 12, 12, 48),
+)
 MIN_ITEM_BYTES = 12
+# Steps of the walk, each way, that a candidate is tried by first, and the share that must agree.
+CHECK_STEPS, CHECK_SHARE = 96, 0.3
+# A walk moves at half of its steps or so: one that may run past the item's end is entered too.
+REACH = 0.6
 BLOCK_ITEMS, BLOCK_BYTES = 2000, 1 << 20
 FILTER_BITS = 20
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -39,6 +65,9 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 TABLE = np.arange(256, dtype=np.uint8)
 TABLE[65:91] += 32
 TABLE[[0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = 0x20
+WINDOW = np.full(256, 2, dtype=np.int8)
+WINDOW[[ord(c) for c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"]] = 1
+WINDOW[SPACE] = 0
 _LOWER = {c: c + 32 for c in range(65, 91)} | {c: 32 for c in (9, 10, 11, 12, 13)}
 
 
@@ -58,8 +87,8 @@ class Walk:
     steps: int
 
     @staticmethod
-    def draw(form: tuple[int, int, int, int], number: int, seed: int) -> Walk:
-        early_steps, early, steps, late = form
+    def draw(form: Form, number: int, seed: int) -> Walk:
+        early_steps, early, steps, late = form.early_steps, form.early, form.steps, form.late
         chance = np.random.default_rng([seed, steps, number])
         return Walk(
             chance.integers(0, 2, size=(steps, 256), dtype=np.int8).astype(np.int32),
@@ -74,7 +103,8 @@ class Walk:
             byte = data[at]
             if step in sampled:
                 key = key * _FACTOR + byte
-            at = at + self.moves[step][byte]
+            if step + 1 < self.steps:
+                at = at + self.moves[step][byte]
         return at, key
 
     def begin(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,33 +115,71 @@ class Walk:
 
 
 def _padded(buffer: Buffer) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes with room for a walk at the end, and the starts of the words."""
+    """The bytes with room for a walk at the end, and where windows start.
+
+    That is at words, and after punctuation, as a copy may stand in quotes or brackets.
+    """
     width = np.int32 if len(buffer.bytes) < 1 << 30 else np.int64
-    return np.concatenate([buffer.bytes, np.full(FORMS[0][2] + 1, 0x20, np.uint8)]), buffer.start.astype(width)
+    begins = WINDOW[buffer.bytes]  # 0 white space, 1 punctuation, 2 others
+    after = (begins[:-1] == 1) & (begins[1:] == 2)
+    if len(after):
+        after[buffer.start[buffer.start > 0] - 1] = True
+    starts = np.flatnonzero(after) + 1
+    if len(buffer.start) and buffer.start[0] == 0:
+        starts = np.concatenate([[0], starts])
+    longest = max(form.steps for form in FORMS)
+    return np.concatenate([buffer.bytes, np.full(longest + 1, 0x20, np.uint8)]), starts.astype(width)
+
+
+class Check:
+    """Whether the surroundings of two aligned places agree, by one walk forwards and one backwards.
+
+    Texts at the least similarity agree at about half of the steps that fall into the item,
+    strangers at an eighth or so. It spares the alignment of most strangers.
+    """
+
+    def __init__(self, seed: int):
+        chance = np.random.default_rng([seed, CHECK_STEPS])
+        self.moves = chance.integers(0, 2, size=(CHECK_STEPS, 256), dtype=np.int8).astype(np.int64)
+
+    def agreeing(
+        self, text: np.ndarray, at: np.ndarray, items: np.ndarray, place: np.ndarray, first: np.ndarray, last: np.ndarray
+    ) -> np.ndarray:
+        """For each pair of places, whether enough steps agree; the item lies from `first` to before `last`."""
+        same, seen = np.zeros(len(at), np.int32), np.zeros(len(at), np.int32)
+        for way, start in ((1, 0), (-1, -1)):
+            a, b = at + start, place + start
+            for step in range(CHECK_STEPS):
+                inside = (b >= first) & (b < last) & (a >= 0) & (a < len(text))
+                x = text[np.clip(a, 0, len(text) - 1)]
+                y = items[np.clip(b, 0, len(items) - 1)]
+                seen += inside
+                same += inside & (x == y)
+                a, b = a + way * self.moves[step][x], b + way * self.moves[step][y]
+        return same >= CHECK_SHARE * seen
 
 
 class ItemIndex:
     """Keys of a block of items for each walk; the block is bounded, so it goes to every task."""
 
-    def __init__(self, items: list[tuple[int | None, str]], walks: int, seed: int, similarity: float):
+    def __init__(self, items: list[tuple[int | None, str]], seed: int, similarity: float):
         self.ids = [i for i, _ in items]
         self.texts = [normal(t).strip(" ") for _, t in items]
         self.similarity = similarity
         data = [t.encode("utf-8", "surrogatepass") for t in self.texts]
         self.lengths = np.array([len(d) for d in data], dtype=np.int64)
         whole = Buffer(list(range(len(data))), data, TABLE)
-        offset = whole.start - whole.doc_start[whole.doc]
         padded, starts = _padded(whole)
-        self.tables = []
-        for rank, form in enumerate(FORMS):
-            steps = form[2]
-            longest = FORMS[rank - 1][2] if rank else None
-            length = self.lengths[whole.doc]
-            of_form = (length >= steps) & ((length < longest) if longest else True)
-            chosen = np.flatnonzero(of_form & (offset + steps <= length))
+        doc = np.searchsorted(whole.doc_end, starts, side="right")
+        offset, length = starts - whole.doc_start[doc], self.lengths[doc]
+        self.tables, self.check = [], Check(seed)
+        self.data, self.begin = whole.bytes, whole.doc_start
+        for form in FORMS:
+            of_form = (length >= form.least) & (length < form.below)
+            chosen = np.flatnonzero(of_form & (offset + REACH * form.steps <= length))
             if not len(chosen):
                 continue
-            for number in range(walks):
+            for number in range(form.walks):
                 walk = Walk.draw(form, number, seed)
                 at, key = walk.begin(padded, starts[chosen])
                 early = np.zeros(1 << FILTER_BITS, dtype=bool)
@@ -121,7 +189,7 @@ class ItemIndex:
                 late[key >> np.uint64(64 - FILTER_BITS)] = True
                 order = np.argsort(key, kind="stable")
                 self.tables.append(
-                    (walk, early, late, key[order], whole.doc[chosen][order], offset[chosen][order])
+                    (walk, early, late, key[order], doc[chosen][order], offset[chosen][order])
                 )
 
     def candidates(self, buffer: Buffer) -> np.ndarray:
@@ -143,10 +211,16 @@ class ItemIndex:
             if not len(hit):
                 continue
             entry = np.repeat(low, count) + np.arange(len(hit)) - np.repeat(np.cumsum(count) - count, count)
-            word = left[hit]
-            start = buffer.start[word] - buffer.doc_start[buffer.doc[word]] - offset[entry]
+            at = starts[left[hit]].astype(np.int64)
+            own, first = item[entry], self.begin[item[entry]]
+            alike = self.check.agreeing(
+                buffer.bytes, at, self.data, first + offset[entry], first, first + self.lengths[own]
+            )
+            at, entry = at[alike], entry[alike]
+            doc = np.searchsorted(buffer.doc_end, at, side="right")
+            start = at - buffer.doc_start[doc] - offset[entry]
             margin = np.maximum(self.lengths[item[entry]] // 8, 4)
-            found.append(np.stack([buffer.doc[word], item[entry], np.floor_divide(start, margin) * margin], 1))
+            found.append(np.stack([doc, item[entry], np.floor_divide(start, margin) * margin], 1))
         return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
 
     def verify(self, text: bytes, item: int, start: int) -> tuple[int, int, int] | None:
@@ -254,7 +328,7 @@ def _search(rows: DataFrame, index: ItemIndex) -> DataFrame:
 
 
 def found_items(
-    docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, walks: int = WALKS, seed: int = SEED
+    docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, seed: int = SEED
 ) -> DataFrame:
     """Each document's name and the benchmark items found in it: where, and at how many edits.
 
@@ -266,7 +340,7 @@ def found_items(
     rows = named(docs).select(*NAME, F.col("text").cast("string"))
     found = None
     for block in _blocks(benchmark):
-        part = _search(rows, ItemIndex(block, walks, seed, similarity))
+        part = _search(rows, ItemIndex(block, seed, similarity))
         found = part if found is None else found.unionAll(part)
     return found if found is not None else docs.sparkSession.createDataFrame([], SCHEMA)
 
