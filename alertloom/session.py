@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -90,3 +91,13 @@ def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     SETTLED.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files that nothing refers to any more.
+
+    It does so by itself when the driver's memory is collected, which may be long after a
+    table was settled and the files behind it became useless.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
