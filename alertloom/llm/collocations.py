@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from alertloom.llm.bitmap import Bitmap
 from alertloom.llm.text import BUFFER_BYTES, Buffer, combine, mix, signed
 from alertloom.session import settle
 
@@ -32,8 +33,6 @@ LONGEST = 5
 TOP = 2000
 BATCH = 8  # first words of the first batch, as a multiple of the places asked for
 STEP = 1.0  # occurrences of a later batch's words, as a multiple of those expanded before
-MOST_BITS = 1 << 27  # of a bitmap: 16 MB
-BITS_EACH = 16
 
 _SEPARATORS = ".,;:!?\n\x0b\x0c\r"
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -177,39 +176,6 @@ def _count(docs: DataFrame, choose: Callable[[Words], Iterator[tuple[np.ndarray,
     return counted.select(F.filter(F.array(*_PLACES), lambda name: name != 0).alias("p"), "n")
 
 
-# --- bitmaps -----------------------------------------------------------------
-
-
-def _bit(hashes: np.ndarray, size: int) -> np.ndarray:
-    return hashes & np.uint64(size - 1)
-
-
-class Bitmap:
-    """A set of hashes as bits; its size goes with the set up to a fixed bound."""
-
-    def __init__(self, bits: np.ndarray):
-        self.bits, self.size = bits, len(bits) * 64
-
-    @classmethod
-    def of(cls, hashes: DataFrame) -> Bitmap:
-        """Of one column of longs. What comes to the driver is at most MOST_BITS."""
-        column = F.col(hashes.columns[0])
-        wanted = min(MOST_BITS, BITS_EACH * hashes.count())
-        size = max(1 << 12, 1 << (wanted - 1).bit_length())
-        place = column.bitwiseAND(F.lit(size - 1))
-        blocks = hashes.groupBy(F.shiftright(place, 6).alias("block")).agg(
-            F.bit_or(F.expr(f"shiftleft(1L, cast(`{hashes.columns[0]}` & 63 as int))")).alias("bits")
-        )
-        found = blocks.toArrow()
-        bits = np.zeros(size // 64, np.uint64)
-        bits[found["block"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-        return cls(bits)
-
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        at = _bit(hashes, self.size)
-        return (self.bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
-
-
 def _prints(phrases: DataFrame) -> DataFrame:
     """The hash of each phrase `p`, as `Words.prints` makes it."""
 

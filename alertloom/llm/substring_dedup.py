@@ -19,10 +19,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from alertloom.llm.bitmap import Bitmap
 from alertloom.llm.graph import components, forest, shared_buckets
 from alertloom.llm.rows import NAME, named
 from alertloom.llm.text import Buffer, buffers, combine, mix, signed
-from alertloom.session import settle
+from alertloom.session import release, settle
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -101,10 +102,11 @@ SCHEMA = (
 )
 
 
-def paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, only: Bitmap | None = None) -> DataFrame:
     """Every paragraph: its document's name, code points, identity `k1`, `k2`, and a line's bands.
 
-    Paragraphs of fewer words than `min_words`, or than a shingle, are left out.
+    Paragraphs of fewer words than `min_words`, or than a shingle, are left out. With `only`, a
+    set of `k1`, others are left out too, but for a few, and there are no bands.
     """
     least_words = max(min_words, SHINGLE)
 
@@ -119,8 +121,9 @@ def paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 starts = _passage_starts(buffer)
                 if not len(first) and not len(starts):
                     continue
+                kinds = np.repeat([LINE, PASSAGE], [len(first), len(starts)])
                 bands = np.zeros((0, BANDS), np.uint64)
-                if len(first):
+                if len(first) and only is None:
                     bands = _line_bands(combine(buffer.hash, SHINGLE), first, last)
                 begin = np.concatenate([first, starts])
                 stop = np.concatenate([last, starts + PASSAGE_WORDS])
@@ -129,15 +132,18 @@ def paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     b"".join(digest(data[8 * a : 8 * b]) for a, b in zip(begin.tolist(), stop.tolist())),
                     dtype=np.int64,
                 ).reshape(-1, 2)
+                if only is not None:
+                    wanted = only.has(np.ascontiguousarray(whole[:, 0]).view(np.uint64))
+                    begin, stop, whole, kinds = begin[wanted], stop[wanted], whole[wanted], kinds[wanted]
                 doc = buffer.doc[begin]
                 points = buffer.points()
                 base = points[buffer.doc_start[doc]]
                 rows = pa.array(np.array(buffer.rows)[doc])
-                sizes = np.concatenate([[0], np.full(len(first), BANDS), np.zeros(len(starts), int)])
+                sizes = np.concatenate([[0], np.where(kinds == LINE, BANDS, 0) * (only is None)])
                 yield pa.record_batch(
                     {
                         **{n: batch.column(i).take(rows) for i, n in enumerate(NAME)},
-                        "kind": pa.array(np.repeat([LINE, PASSAGE], [len(first), len(starts)]), pa.int8()),
+                        "kind": pa.array(kinds, pa.int8()),
                         "start": pa.array(points[buffer.start[begin]] - base, pa.int32()),
                         "end": pa.array(points[buffer.end[stop - 1]] - base, pa.int32()),
                         "k1": pa.array(whole[:, 0]),
@@ -213,7 +219,8 @@ def repeats(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MI
     same document counts too, unless it overlaps the one which stays. Occurrences are ordered by doc_id, null last, then
     place; rows alike in doc_id and text are one document. Null and empty texts have none.
     """
-    found = settle(paragraphs(docs, min_words), "paragraphs")
+    # Read twice rather than kept: most paragraphs occur once, and only names are needed of the others.
+    found = paragraphs(docs, min_words)
     row = F.struct("__null", "__id", "__hash", "start", "end")
     place = F.xxhash64(*NAME, "start")
     classes = found.groupBy("k1", "k2", "kind").agg(
@@ -221,6 +228,7 @@ def repeats(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MI
     )
     # Most passages occur once; their classes end here.
     classes = settle(classes.where((F.col("kind") == LINE) | (F.col("low") != F.col("high"))), "paragraph-classes")
+    release(docs.sparkSession)  # every paragraph went through that shuffle
     lines = classes.where(F.col("kind") == LINE).drop("low", "high")
     roots = components(near_links(docs, lines, similarity)).select(F.col("node").alias("k1"), "root")
     near = lines.drop("bands").join(roots, "k1")
@@ -231,8 +239,11 @@ def repeats(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MI
     heads = exact.join(near, ["k1", "k2", "kind"], "full").select(
         "k1", "k2", "kind", F.coalesce("head", "row").alias("head")
     )
+    heads = settle(heads, "paragraph-heads")
+    release(docs.sparkSession)
     spans = (
-        found.drop("bands")
+        paragraphs(docs, min_words, Bitmap.of(heads.select("k1")))
+        .drop("bands")
         .join(heads.hint("shuffle_hash"), ["k1", "k2", "kind"])
         .where("__id != head.__id OR __null != head.__null OR __hash != head.__hash OR start >= head.end")
         .select(*NAME, F.col("head.__id").alias("kept_id"), F.col("head.__null").alias("kept_null"), "start", "end")
