@@ -188,9 +188,10 @@ def shingle_set(text: str) -> set[tuple[str, ...]]:
 
 def near_links(docs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b) between `k1` of distinct lines; texts are fetched only for shared buckets."""
-    entries = lines.select("k1", "row", F.explode("bands").alias("bucket"))
+    entries = lines.select("k1", F.explode("bands").alias("bucket"))
     members = settle(shared_buckets(entries).drop("members"), "band-members")
-    wanted = members.select("k1", "row").distinct()
+    release(docs.sparkSession)
+    wanted = lines.select("k1", "row").join(members.select("k1").distinct().hint("shuffle_hash"), "k1")
     wanted = wanted.groupBy(*[F.col(f"row.{c}").alias(c) for c in NAME]).agg(
         F.collect_list(F.struct("k1", "row.start", "row.end")).alias("wanted")
     )
