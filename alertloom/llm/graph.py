@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Generator, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from alertloom.session import settle
 
 BLOCK = 2000
+# Members and characters of small groups that are walked side by side.
+SIDE_BY_SIDE, CHARACTERS = 12000, 1 << 23
 NO_EDGES = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
 
 
@@ -71,14 +73,17 @@ def shared_buckets(members: DataFrame) -> DataFrame:
 
 def forest(
     members: DataFrame,
-    near: Callable[[dict[str, list]], Callable[[int, np.ndarray], np.ndarray]],
+    near: Callable,
     block: int = BLOCK,
+    many: bool = False,
 ) -> DataFrame:
     """Links (a, b) that connect the members of each bucket exactly as all near pairs would.
 
     `members` holds a long `bucket`, a long `id`, and the columns that `near` reads. From a
     group's columns `near` makes a function that, for one member and the positions still
-    unreached, gives those positions that are near it.
+    unreached, gives those positions that are near it. With `many`, groups are walked side by
+    side: `near` is a pair of functions, one that prepares a group's columns, and one that answers
+    a list of (prepared group, member, positions) at once.
     A bucket is walked breadth first, so it yields fewer links than it has members, however
     many pairs are near. One of more than `block` members is dealt into blocks, and each
     pair of blocks is a group of its own: no task holds more than two blocks of a bucket.
@@ -98,8 +103,8 @@ def forest(
     )
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches, group):
-            links = _walk(table, near)
+        groups = _groups(batches, group)
+        for links in _walk_many(groups, near) if many else (_walk(table, near) for table in groups):
             if links:
                 a, b = zip(*links)
                 yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -137,16 +142,60 @@ def _groups(batches, group: list[str]) -> Iterator[dict[str, list]]:
         yield held
 
 
-def _walk(table: dict[str, list], near) -> list[tuple[int, int]]:
-    ids, links, find = table["id"], [], near(table)
+Links = list[tuple[int, int]]
+
+
+def _steps(ids: list[int]) -> Generator[tuple[int, np.ndarray], np.ndarray, Links]:
+    """A breadth-first walk that asks which of some positions are near a member, and is told."""
+    links: Links = []
     left = np.arange(len(ids))
     while len(left):
         queue, left = [int(left[0])], left[1:]
         while queue and len(left):
             at = queue.pop()
-            found = find(at, left)
+            found = yield at, left
             if len(found):
                 links.extend((ids[at], ids[i]) for i in found.tolist() if ids[i] != ids[at])
                 queue.extend(found.tolist())
                 left = np.setdiff1d(left, found, assume_unique=True)
     return links
+
+
+def _walk(table: dict[str, list], near) -> Links:
+    steps, find = _steps(table["id"]), near(table)
+    try:
+        asked = next(steps)
+        while True:
+            asked = steps.send(find(*asked))
+    except StopIteration as end:
+        return end.value
+
+
+def _walk_many(groups: Iterator[dict[str, list]], near) -> Iterator[Links]:
+    """The links of groups that are walked side by side and ask together; new ones follow those that end."""
+    prepare, find = near
+    asking: list[tuple] = []  # walk, prepared group, members, characters, question
+    members = size = 0
+    more = True
+    while asking or more:
+        links: Links = []
+        while more and members < SIDE_BY_SIDE and size < CHARACTERS:
+            table = next(groups, None)
+            if table is None:
+                more = False
+                break
+            steps = _steps(table["id"])
+            count = len(table["id"])
+            length = sum(len(x) for c in table.values() for x in c if isinstance(x, str))
+            asking.append((steps, prepare(table), count, length, next(steps)))
+            members, size = members + count, size + length
+        answers = find([(prepared, *asked) for _, prepared, _, _, asked in asking])
+        on = []
+        for (steps, prepared, count, length, _), found in zip(asking, answers):
+            try:
+                on.append((steps, prepared, count, length, steps.send(found)))
+            except StopIteration as end:
+                links.extend(end.value)
+                members, size = members - count, size - length
+        asking = on
+        yield links
