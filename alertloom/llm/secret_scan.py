@@ -1,8 +1,8 @@
 """Secret scans: fixed patterns, and assignments read with their names and constants.
 
 Patterns give the base spans. Beside them, texts are lexed as source and configuration
-syntax: `name = value`, `name: value` and `name => value` pairs, where a value is literals and
-names joined by `+`. A name's text is remembered in order, so that a secret put together from
+syntax: `name = value`, `name: value` and `name => value` pairs, where a name may be a key in
+`x["key"]` and a value is literals and names joined by `+`. A name's text is remembered in order, so that a secret put together from
 constants is seen where it is assigned. A pair counts if its name and its value score enough.
 """
 
@@ -30,14 +30,13 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # as of all runs, those of 24 or more
 ASSIGN_VALUE, ACCESS_LENGTH = 6, 20
 
-# A name with an optional path, type or keyword before it, and the sign between name and value.
-PAIR = re.compile(
-    r"""(?P<q>["']?)(?P<name>[A-Za-z_][A-Za-z0-9_.\-]{0,80})(?P=q)\x20*(?:=>|:=|[:=](?![=:]))\x20*"""
-    r"""(?=["'A-Za-z0-9_$(])"""
-)
+# The sign between a name and its value, and what a value begins with.
+SIGN = re.compile(r"""(?:=>|:=|[:=](?![=:]))[\x20\t]*(?=["'`A-Za-z0-9_$(])""")
+NAME_CHARACTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-")
+NAME_START = re.compile(r"[A-Za-z_]")
 TERM = re.compile(
-    r"""(?P<double>"(?:[^"\\\n]|\\.)*")|(?P<single>'(?:[^'\\\n]|\\.)*')"""
-    r"""|(?P<name>[A-Za-z_][A-Za-z0-9_.]*)|(?P<bare>[^\s"'+,;(){}\[\]]+)"""
+    r"""(?:[rRbBuUfF]{1,2}(?=["']))?(?P<quoted>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`(?:[^`\\\n]|\\.)*`)"""
+    r"""|(?P<name>[A-Za-z_][A-Za-z0-9_.]*)|(?P<bare>[^\s"'`+,;(){}\[\]]+)"""
 )
 PLUS = re.compile(r"\x20*\+\x20*")
 ESCAPE = re.compile(r"\\(.)")
@@ -154,7 +153,7 @@ def _value(text: str, at: int, constants: dict[str, str | Long]) -> tuple[str |
             parts.append(term["bare"])
         else:
             literals += 1
-            parts.append(ESCAPE.sub(r"\1", term[0][1:-1]))
+            parts.append(ESCAPE.sub(r"\1", term["quoted"][1:-1]))
         plus = PLUS.match(text, end)
         if not plus or not TERM.match(text, plus.end()):
             break
@@ -162,21 +161,45 @@ def _value(text: str, at: int, constants: dict[str, str | Long]) -> tuple[str |
     return (_joined(parts) if parts else None), end, literals
 
 
+def _name(text: str, low: int, sign: int) -> str | None:
+    """The name before a sign, plain or quoted or the key in `x["key"]`, read back to `low` at most."""
+    end = sign
+    while end > low and text[end - 1] in " \t":
+        end -= 1
+    if end > low and text[end - 1] == "]":
+        end -= 1
+        if end == low or text[end - 1] not in "\"'":
+            return None
+    quote = text[end - 1] if end > low and text[end - 1] in "\"'" else ""
+    end -= len(quote)
+    start = end
+    while start > low and text[start - 1] in NAME_CHARACTERS:
+        start -= 1
+    if quote:
+        whole = start < end and start > low and text[start - 1] == quote and NAME_START.match(text, start)
+        return text[start:end] if whole else None
+    first = NAME_START.search(text, start, end)
+    return text[first.start() : end] if first else None
+
+
 def assignments(text: str) -> Iterator[tuple[str, str | Long, int, int, int]]:
     """(name, value, start of the value, its end, literals in it), constants put in."""
     constants: dict[str, str | Long] = {}
     at = 0
-    while pair := PAIR.search(text, at):
-        at = pair.end()
+    low = 0  # names lie behind the sign or the value before
+    while sign := SIGN.search(text, at):
+        name = _name(text, low, sign.start())
+        low = at = sign.end()
+        if name is None:
+            continue
         value, end, literals = _value(text, at, constants)
+        constants.pop(name, None)  # what it was is over, known or not
         if value is None:
             continue
-        name = pair["name"]
-        constants.pop(name, None)
         if literals:
             constants[name] = value
         yield name, value, at, end, literals
-        at = max(at, end)
+        low = at = max(at, end)
 
 
 def literal_spans(text: str, threshold: int = SCORE) -> list[tuple[int, int, str]]:
