@@ -66,7 +66,7 @@ class PieceCoder:
             self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, str] = {}
+        self.words: dict[str, tuple[str, str]] = {}  # ids and what they decode to
         for probe in PROBES:  # normalisation and the leading space are settings of the model
             if self.encode(probe) != model.encode(probe):
                 raise ValueError(f"{path} normalises texts in a way not handled here")
@@ -125,12 +125,10 @@ class PieceCoder:
         runs = [SPACE * self.longest_run] * whole + self._merged(SPACE * rest)
         return [self.ids[run] for run in runs]
 
-    def _coded(self, word: str) -> str:
-        """Decimal ids of a space and the word, comma-joined; it is remembered if not long."""
+    def _coded(self, word: str) -> tuple[str, str]:
+        """Decimal ids of a space and the word, comma-joined, and what they decode to; remembered if not long."""
         ids = self._word(SPACE + word)
-        if self._plain(ids) != " " + word:
-            raise ValueError("a word does not come back from its ids")
-        coded = ",".join(map(str, ids))
+        coded = ",".join(map(str, ids)), self._plain(ids)
         if len(word) <= REMEMBERED_LENGTH:
             if len(self.words) >= REMEMBERED_WORDS:
                 self.words.clear()
@@ -138,23 +136,25 @@ class PieceCoder:
         return coded
 
     def coded(self, text: str | None) -> tuple[str, str]:
-        """The text's decimal ids joined by commas, and the text that they decode to.
-
-        Every word's ids were decoded when they were made, so the text decodes to its words.
-        """
+        """The text's decimal ids joined by commas, and the text that these ids decode to."""
         if not text:
             return "", ""
-        plain = text.replace(SPACE, " ")
-        words = plain.split(" ")
+        words = text.replace(SPACE, " ").split(" ")
         known = list(map(self.words.get, words))
         if None in known or "" in words:
             known = self._slowly(words, known)
-        return ",".join(known), plain
+        ids, plain = zip(*known)
+        return ",".join(ids), "".join(plain).removeprefix(" ")
 
-    def _slowly(self, words: list[str], known: list[str | None]) -> list[str]:
+    def _slowly(self, words: list[str], known: list[tuple[str, str] | None]) -> list[tuple[str, str]]:
         """The same with words not remembered, and with runs of spaces (empty words)."""
         found, spaces = [], 1
         space = str(self.ids[SPACE])
+
+        def run(count: int) -> tuple[str, str]:
+            ids = self._spaces(count)
+            return ",".join(map(str, ids)), self._plain(ids)
+
         for word, coded in zip(words, known):
             if not word:
                 spaces += 1
@@ -162,16 +162,16 @@ class PieceCoder:
             coded = coded or self._coded(word)
             if spaces > 1:
                 # The last space of a run stays with the word if the word's first piece has it.
-                first, _, rest = coded.partition(",")
+                first, _, rest = coded[0].partition(",")
                 if first == space:
-                    found.extend(map(str, self._spaces(spaces)))
-                    coded = rest
+                    found.append(run(spaces))
+                    coded = rest, coded[1].removeprefix(" ")
                 else:
-                    found.extend(map(str, self._spaces(spaces - 1)))
+                    found.append(run(spaces - 1))
                 spaces = 1
             found.append(coded)
         if spaces > 1:  # after the last word
-            found.extend(map(str, self._spaces(spaces - 1)))
+            found.append(run(spaces - 1))
         return found
 
     def encode(self, text: str | None) -> list[int]:
