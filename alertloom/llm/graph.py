@@ -73,37 +73,48 @@ def shared_buckets(members: DataFrame) -> DataFrame:
 
 def forest(
     members: DataFrame,
-    near: Callable,
+    near: Callable[[dict[str, list]], Callable[[int, np.ndarray], np.ndarray]],
     block: int = BLOCK,
-    many: bool = False,
 ) -> DataFrame:
     """Links (a, b) that connect the members of each bucket exactly as all near pairs would.
 
     `members` holds a long `bucket`, a long `id`, and the columns that `near` reads. From a
     group's columns `near` makes a function that, for one member and the positions still
-    unreached, gives those positions that are near it. With `many`, groups are walked side by
-    side: `near` is a pair of functions, one that prepares a group's columns, and one that answers
-    a list of (prepared group, member, positions) at once.
+    unreached, gives those positions that are near it.
     A bucket is walked breadth first, so it yields fewer links than it has members, however
     many pairs are near. One of more than `block` members is dealt into blocks, and each
     pair of blocks is a group of its own: no task holds more than two blocks of a bucket.
     Groups are found in sorted rows, so that small ones cost little.
     """
+    return walked(dealt(members, block), near)
+
+
+GROUP = ["bucket", "low", "high"]
+
+
+def dealt(members: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Members of shared buckets with the group, or groups, that they are walked in: `bucket`, `low`, `high`."""
     payload = [c for c in members.columns if c != "bucket"]
-    group = ["bucket", "low", "high"]
-    rows = (
+    return (
         shared_buckets(members)
         .withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
         .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .where("blocks = 1 OR own != other")
         .select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), *payload)
-        .repartition(*group)
-        .sortWithinPartitions(*group)
     )
 
+
+def walked(rows: DataFrame, near, many: bool = False) -> DataFrame:
+    """Links of the groups of `dealt`, whose rows may have got more columns for `near` since.
+
+    With `many`, groups are walked side by side: `near` is a pair of functions, one that prepares a
+    group's columns, and one that answers a list of (prepared group, member, positions) at once.
+    """
+    rows = rows.repartition(*GROUP).sortWithinPartitions(*GROUP)
+
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups = _groups(batches, group)
+        groups = _groups(batches, GROUP)
         for links in _walk_many(groups, near) if many else (_walk(table, near) for table in groups):
             if links:
                 a, b = zip(*links)
