@@ -498,6 +498,22 @@ def test_toxic_texts_score_higher(spark):
     assert [r.predicted for r in nothing] == [0, 0, 0]
 
 
+def test_a_fit_of_rare_and_well_marked_rows_settles():
+    """Whole Newton steps leave such rows behind: every score became the same."""
+    chance = np.random.default_rng(2)
+    y = np.repeat([1.0, 0.0], [300, 3000])
+    x = np.column_stack([y * 6 + chance.normal(size=y.size) * 0.3 for _ in range(12)])
+    x[:100] = chance.normal(size=(100, 12)) * 0.3  # labelled so, but without a mark
+    share = 0.05
+    weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
+    design = np.column_stack([np.ones(y.size), (x - x.mean(axis=0)) / x.std(axis=0)])
+    fit = toxicity.logistic(design, y, weight, float(np.log(share / (1 - share))))
+    z = design @ fit
+    assert np.abs(fit).max() < 50
+    assert z[100:300].min() > z[300:].max()
+    assert abs(weight @ (1 / (1 + np.exp(-z))) / weight.sum() - share) < 1e-3
+
+
 # --- 8: sharding --------------------------------------------------------------
 
 
