@@ -109,6 +109,22 @@ def test_ties_do_not_depend_on_the_order_of_rows(spark):
     assert len(found) == 1
 
 
+def test_records_that_tie_settle_before_the_cap_and_meet_once(spark):
+    """Copies, ties and a later copy of one key; other keys once each."""
+    rows = [report(1), {**report(1), "serious": "1"}, {**report(1), "serious": "1"}, report(2), report(3), report(1)]
+    feed = landed(spark, rows)
+    at = F.when(F.col("source_pos") > 2, 7).otherwise(0)
+    feed.events = spark.createDataFrame(rows, schemas.EVENT_REPORT).coalesce(1).withColumn(
+        "source_pos", F.monotonically_increasing_id()
+    ).withColumn("source_pos", at.cast("bigint"))
+    all_of_it = plan.new_records(feed, None, DAY)
+    assert sorted(r.source_url[-2:] for r in all_of_it.collect()) == ["r1", "r2", "r3"]
+    capped = plan.new_records(feed, None, DAY, caps=plan.Caps(events=2))
+    assert sorted(r.source_url[-2:] for r in capped.collect()) == ["r1", "r2"]
+    shuffles = all_of_it._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert shuffles <= 4  # one for each source
+
+
 def test_large_caps_are_cut_in_parts(spark):
     df = spark.range(6000).select((F.col("id") % 2).alias("g"), "id")
     kept = harvest.cap_per_group(df, ["g"], ["id"], 1500)
