@@ -121,6 +121,30 @@ def test_line_breaks_in_event_values_are_kept(spark, tmp_path):
     assert {r.safetyreportid: (r.reactions, r.occurcountry) for r in loaded}["9"] == ("far\nfrom here", "US")
 
 
+def test_files_that_one_task_reads_are_bounded(spark, tmp_path, monkeypatch):
+    """A value may hold line breaks, so a file is not split: the writer keeps each of them short."""
+    monkeypatch.setattr(sinks, "RECORDS_PER_FILE", 10)
+    names = schemas.EVENT_FLAT.names
+    rows = [tuple(f'{n} {i}\r\n"x"' for n in names) for i in range(35)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{n}` string" for n in names)).coalesce(1)
+    sinks.write_events(df, str(tmp_path / "drug-event-1.csv"))
+    assert len(list((tmp_path / "drug-event-1.csv").glob("*.csv"))) == 4
+    read = readers.read_event_csv(spark, str(tmp_path))
+    assert sorted(map(str, read.select(names[0]).collect())) == sorted(map(str, df.select(names[0]).collect()))
+
+
+def test_landed_lines_are_packed_in_bounded_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "RECORDS_PER_FILE", 10)
+    df = spark.range(35).selectExpr("cast(id AS string) AS safetyreportid", "repeat('x\n', 500) AS companynumb").coalesce(1)
+    sinks.write_lines(df, str(tmp_path / "lines"))
+    files = list((tmp_path / "lines").glob("part-*"))
+    assert len(files) == 4 and sum(f.stat().st_size for f in files) < 35 * 200
+    read = readers.read_landed_lines(spark, str(tmp_path / "lines"), schemas.EVENT_REPORT)
+    assert sorted(tuple(r) for r in read.select(*df.columns).collect()) == sorted(tuple(r) for r in df.collect())
+    order = [r.safetyreportid for r in read.orderBy("source_file", "source_pos").collect()]
+    assert order == [str(i) for i in range(35)]
+
+
 def test_json_lines(spark, tmp_path):
     (tmp_path / "trials.json").write_text(
         '{"protocolSection": {"identificationModule": {"nctId": "N1"}}}\n{}\n'
