@@ -14,11 +14,15 @@ with the occurrences of rarest tokens, not with the documents.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alertloom.operators.match import plain_words
+from alertloom.session import settle
 from alertloom.sources import snapshots
 from alertloom.sources.snapshots import Snapshot
 
@@ -55,14 +59,34 @@ def _bucket(token: Column) -> Column:
 
 
 def tokens(documents: DataFrame, document_id: str, body: str) -> DataFrame:
-    """(token, document, positions): the places, from 0, of each word of a text."""
-    words = F.split(plain_words(F.col(body)), " ")
-    placed = documents.select(F.col(document_id).alias("document"), F.posexplode(words).alias("at", "token"))
-    return (
-        placed.where("token != ''")
-        .groupBy("token", "document")
-        .agg(F.sort_array(F.collect_list("at")).alias("positions"))
-    )
+    """(token, document, positions): the places, from 0, of each word of a text.
+
+    Words meet within their row. An id that comes twice has as many rows of a token.
+    """
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            document, words = batch.column(0), batch.column(1).to_pylist()
+            found, owner, positions = [], [], []
+            for row, line in enumerate(words):
+                at: dict[str, list[int]] = {}
+                for place, token in enumerate(line.split(" ") if line else ()):
+                    at.setdefault(token, []).append(place)
+                at.pop("", None)
+                found += at
+                positions += at.values()
+                owner += [row] * len(at)
+            yield pa.record_batch(
+                {
+                    "token": pa.array(found, pa.string()),
+                    "document": document.take(pa.array(owner, pa.int64())),
+                    "positions": pa.array(positions, pa.list_(pa.int32())),
+                }
+            )
+
+    kind = documents.schema[document_id].dataType.simpleString()
+    words = documents.select(F.col(document_id).alias("document"), plain_words(F.col(body)).alias("words"))
+    return words.mapInArrow(places, f"token string, document {kind}, positions array<int>")
 
 
 def _write_postings(rows: DataFrame):
@@ -161,7 +185,8 @@ def find(
     spark = entities.sparkSession
     named = entities.select(F.col(entity).alias("entity")).distinct()
     words = F.split(plain_words(F.col("entity")), " ")
-    probes = named.select("entity", F.posexplode(words).alias("offset", "token")).where("token != ''")
+    # Settled, so that Spark knows how small it is, and leaves the postings where they lie if it can.
+    probes = settle(named.select("entity", F.posexplode(words).alias("offset", "token")).where("token != ''"), "probes")
     wanted = probes.select("token").distinct()
     postings = _read_postings(spark, held, document_id, _buckets_of(wanted))
     # How many documents hold each wanted token: an overestimate where postings are outdated.
@@ -177,6 +202,7 @@ def find(
     lead = phrases.select(
         "entity", "all", F.col("rarest.offset").alias("offset"), F.col("rarest.token").alias("token")
     )
+    lead = settle(lead, "lead")
     valid = current(spark, held, document_id)
     found = (
         rows.join(lead, "token")
@@ -189,18 +215,23 @@ def find(
             F.filter("all", lambda x: x["offset"] != F.col("offset")).alias("rest"),
         )
     )
-    single = found.where(F.size("rest") == 0).select("entity", "document", "starts")
+    # An id that came twice in one addition has several rows of a token.
+    single = (
+        found.where(F.size("rest") == 0)
+        .groupBy("entity", "document")
+        .agg(F.sort_array(F.flatten(F.collect_list("starts"))).alias("starts"))
+    )
     more = found.where(F.size("rest") > 0).select("entity", "document", "generation", "starts", F.size("rest").alias("n"), F.inline("rest"))
-    # One row for each other token of a candidate; the phrase stands where all of them agree.
+    # Rows for each other token of a candidate; the phrase stands where all of them agree.
     met = more.join(rows.select("token", "document", "generation", "positions"), ["token", "document", "generation"]).select(
-        "entity", "document", "n", F.array_intersect("starts", shift(F.col("positions"), F.col("offset"))).alias("starts")
+        "entity", "document", "n", "offset", F.array_intersect("starts", shift(F.col("positions"), F.col("offset"))).alias("starts")
     )
     agreed = (
         met.where(F.size("starts") > 0)
-        .select("entity", "document", "n", F.explode("starts").alias("start"))
+        .select("entity", "document", "n", "offset", F.explode("starts").alias("start"))
         .groupBy("entity", "document", "n", "start")
-        .count()
-        .where("count = n")
+        .agg(F.size(F.collect_set("offset")).alias("agreeing"))
+        .where("agreeing = n")
         .groupBy("entity", "document")
         .agg(F.sort_array(F.collect_list("start")).alias("starts"))
     )

@@ -109,3 +109,18 @@ def test_empty(spark, tmp_path):
     assert search(spark, snapshots.snapshot(spark, str(tmp_path / "none"))) == {}
     full = phrases.add(frame(spark, {1: "alpha"}), str(tmp_path / "b"))
     assert search(spark, full, []) == {}
+
+
+def test_words_meet_within_their_row(spark, tmp_path):
+    """No shuffle before the one that deals postings; an id that comes twice has the places of both texts."""
+    df = spark.createDataFrame([(1, "a b, A"), (1, "b a"), (2, None), (None, "a")], "doc_id long, text string")
+    found = phrases.tokens(df, "doc_id", "text")
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.token, r.positions) for r in found.where("document = 1").collect()) == [
+        ("a", [0, 2]),
+        ("a", [1]),
+        ("b", [0]),
+        ("b", [1]),
+    ]
+    held = phrases.add(df, str(tmp_path / "index"))
+    assert search(spark, held, ["a", "a b", "b a", "c"]) == {("a", 1): [0, 1, 2], ("a b", 1): [0], ("b a", 1): [0, 1]}
