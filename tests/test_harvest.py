@@ -109,6 +109,16 @@ def test_ties_do_not_depend_on_the_order_of_rows(spark):
     assert len(found) == 1
 
 
+def test_keys_seen_are_not_broadcast(spark, tmp_path):
+    """Any number of them may have been seen; the rows lie by key anyway."""
+    feed, path = landed(spark, [report(i) for i in range(6)]), str(tmp_path / "taken")
+    first = plan.new_records(feed, None, DAY, caps=plan.Caps(events=4))
+    first.coalesce(1).write.parquet(path)
+    new = plan.new_records(feed, spark.read.parquet(path).select("source_url"), DAY)
+    assert len(new.collect()) == 2
+    assert "Broadcast" not in new._jdf.queryExecution().executedPlan().toString()
+
+
 def test_records_that_tie_settle_before_the_cap_and_meet_once(spark):
     """Copies, ties and a later copy of one key; other keys once each."""
     rows = [report(1), {**report(1), "serious": "1"}, {**report(1), "serious": "1"}, report(2), report(3), report(1)]
