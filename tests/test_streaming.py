@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,6 +81,23 @@ def test_json_lines_as_a_stream(spark, tmp_path):
     assert all(r.source_file.endswith(".json") for r in got)
 
 
+def test_settling_leaves_no_shuffle_files_behind(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = lambda: {f"{disk.getAllFiles().apply(i).getName()}" for i in range(disk.getAllFiles().size())}
+    shuffles = lambda: {n for n in names() if n.startswith("shuffle_")}
+    before, setting = shuffles(), spark.conf.get(session.CLEANUP_KEY, None)
+    rows = spark.range(1000).withColumn("key", F.col("id") % 7)
+    grouped = rows.groupBy("key").agg(F.count("*").alias("n"))
+    settled = [session.settle(rows.repartition(5, "id").join(grouped, "key"), "cleaned") for _ in range(2)]
+    until = time.monotonic() + 20
+    while shuffles() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert spark.conf.get(session.CLEANUP_KEY, None) == setting
+    assert [(df.count(), df.agg(F.sum("n")).first()[0]) for df in settled] == [(1000, 142858)] * 2
+    assert grouped.count() == 7  # what was settled can be computed once more
+
+
 def test_settled_tables_can_be_discarded(spark):
     first = session.settle(spark.range(5), "kept")
     path = first.inputFiles()[0].rsplit("/", 1)[0]
